@@ -7,7 +7,6 @@ from pyspark.sql import Column, functions as F
 # Formats of day names and run ids. Parsing takes unpadded months
 # and days (2019-8-1); rendering always pads.
 DAY_PARSE = "yyyy-M-d"
-DAY_RENDER = "yyyy-MM-dd"
 RUN_STAMP = "yyyyMMdd_HHmmss"
 
 
@@ -22,7 +21,8 @@ def try_parse_day(text: Column) -> Column:
 
 
 def day_name(day: Column) -> Column:
-    return F.date_format(day, DAY_RENDER)
+    """`yyyy-MM-dd`, which is how Spark writes a date as text."""
+    return day.cast("date").cast("string")
 
 
 def is_day_name(name: Column) -> Column:

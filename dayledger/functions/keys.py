@@ -4,15 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
-from dayledger.functions.days import day_name, try_parse_day
+from dayledger.functions.days import day_name
 
 SOURCE_SUFFIX = ".txt"
 BLANKS = " \t\r\n\f\x0b"
 OBJECT_SCHEMES = ("s3a", "s3")
 
-# The file or its folder names the day: `2019-08-23.txt`, `2019-08-23/part-0.parquet`
-# or `src_date=2019-08-23/part-0.csv`, with further `key=value` folders between.
-DAY_IN_PATH = r"(?:^|.*/)(?:src_date=)?(\d{4}-\d{2}-\d{2})(?:\.txt)?(?:/[^/=]+=[^/]*)*(?:/[^/]*)?$"
 URI_PARTS = r"^([A-Za-z][A-Za-z0-9+.-]*)://([^/?#]*)/*([^?#]*)"
 
 
@@ -38,9 +35,24 @@ def join_path(root: Column, *parts: Column) -> Column:
     return F.concat_ws("/", heads, *tails)
 
 
+def day_text_of_path(path: Column) -> Column:
+    """Name of the day a file belongs to, or null when its path has none.
+
+    The file or one of the two folders above names it: `2019-08-23.txt`,
+    `2019-08-23/part-0.parquet`, `src_date=2019-08-23/batch_id=7/part-0.parquet`. Evaluated
+    for every row of a scan, hence plain substrings and no pattern.
+    """
+
+    def named(level: int) -> Column:
+        segment = F.substring_index(F.substring_index(path, "/", -level), "/", 1)
+        name = F.substring_index(F.substring_index(segment, ".", 1), "=", -1)
+        return F.when((F.length(name) == 10) & name.try_cast("date").isNotNull(), name)
+
+    return F.coalesce(named(1), named(2), named(3))
+
+
 def day_of_path(path: Column) -> Column:
-    """Day a file belongs to, or null when its path names none."""
-    return try_parse_day(F.nullif(F.regexp_extract(path, DAY_IN_PATH, 1), F.lit("")))
+    return day_text_of_path(path).cast("date")
 
 
 def split_uri(uri: Column, schemes: tuple[str, ...] = OBJECT_SCHEMES, strict: bool = True) -> Column:

@@ -2,13 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from dayledger.operators.positions import rows_before
 
-AUC_BUCKETS = 1024
-
 
 def confusion(rows: DataFrame, label: str, prediction: str) -> DataFrame:
     return rows.groupBy(
@@ -56,31 +53,33 @@ def f1_of(counts: DataFrame) -> DataFrame:
     return per_class.agg((F.sum(score * F.col("support")) / F.sum("support")).alias("f1"))
 
 
-def auc(rows: DataFrame, label: str, score: str, buckets: int = AUC_BUCKETS) -> DataFrame:
+def auc(rows: DataFrame, label: str, score: str) -> DataFrame:
     """Exact area under the ROC curve; ties count half, a single class gives 0.
 
-    Equal scores are counted together before any shuffle of rows, and the running count
-    of negatives is taken per score range plus the total of the ranges below, so no task
-    sorts all scores. Reads `rows` twice; cache a costly input.
+    Equal scores are counted together first. The distinct scores are then cut into ranges,
+    and the running count of negatives is taken within a range plus the total of the ranges
+    below, so no task sorts all scores and a score shared by many rows is one row.
     """
-    scored = rows.select(F.col(score).cast("double").alias("score"), (F.col(label) > 0.5).alias("positive"))
-    ranges = Bucketizer(
-        splits=score_cuts(scored, buckets), inputCol="score", outputCol="bucket", handleInvalid="keep"
+    scored = rows.select(
+        F.col(score).cast("double").alias("score"), (F.col(label) > 0.5).alias("positive")
     )
     counts = scored.groupBy("score").agg(
         F.count_if("positive").alias("pos"), F.count_if(~F.col("positive")).alias("neg")
     )
-    below = Window.partitionBy("bucket").orderBy("score").rowsBetween(Window.unboundedPreceding, -1)
+    ranges = counts.repartitionByRange("score").withColumn("range", F.spark_partition_id())
+    below = Window.partitionBy("range").orderBy("score").rowsBetween(Window.unboundedPreceding, -1)
     # Pairs are counted twice over, so a tie is one; decimals keep the sums exact.
-    ranked = ranges.transform(counts).withColumn(
-        "won", whole(2 * F.coalesce(F.sum("neg").over(below), F.lit(0)) + F.col("neg"))
-    )
-    per_range = ranked.groupBy("bucket").agg(
-        F.sum("pos").alias("pos"),
-        F.sum("neg").alias("neg"),
-        F.sum((whole("pos") * F.col("won")).cast("decimal(38,0)")).alias("won"),
+    won = 2 * F.coalesce(F.sum("neg").over(below), F.lit(0)) + F.col("neg")
+    per_range = (
+        ranges.withColumn("won", whole(won))
+        .groupBy("range")
+        .agg(
+            F.sum("pos").alias("pos"),
+            F.sum("neg").alias("neg"),
+            F.sum((whole("pos") * F.col("won")).cast("decimal(38,0)")).alias("won"),
+        )
     )
-    with_lower = per_range.withColumn("lower", rows_before(F.col("bucket"), F.col("neg")))
+    with_lower = per_range.withColumn("lower", rows_before("range", "neg"))
     total = with_lower.agg(
         F.sum(F.col("won") + 2 * whole("pos") * whole("lower")).cast("double").alias("won"),
         (2.0 * F.sum("pos") * F.sum("neg")).alias("pairs"),
@@ -95,17 +94,6 @@ def whole(count: str | Column) -> Column:
     return column.cast("decimal(18,0)")
 
 
-def score_cuts(scored: DataFrame, buckets: int) -> list[float]:
-    """Quantiles of the score: at most `buckets` numbers come to the driver.
-
-    They only balance the work; the metric is exact for any cuts.
-    """
-    shares = [i / buckets for i in range(1, buckets)]
-    row = scored.where(~F.isnan("score")).agg(F.percentile_approx("score", shares, 10 * buckets)).first()
-    inner = sorted({c for c in (row[0] or []) if abs(c) != float("inf")})
-    return [float("-inf"), *(inner or [0.0]), float("inf")]
-
-
 def label_rate(rows: DataFrame, label: str) -> DataFrame:
     """Rows, positives and the percentage of positives to two places."""
     return rows.agg(

@@ -1,43 +1,91 @@
-"""Exact global row numbers without sorting everything in one task."""
+"""Exact global row numbers and exact-size samples without sorting everything in one task."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
-from dayledger.functions.hashing import PRIME, hash31
+from dayledger.functions.hashing import hash31
 
-BUCKETS = 1024
+HASH_BITS = 31
+
+
+def bucket_bits(spark: SparkSession) -> int:
+    """Bits of a bucket number: at least four buckets per shuffle partition.
+
+    The bucket table has one row per bucket, so it follows the width of the cluster's
+    shuffles and never the data; at most 2**18 rows.
+    """
+    width = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return min(max((4 * width - 1).bit_length(), 6), 18)
+
+
+def bucket_of(hashed: Column, bits: int) -> Column:
+    """Top bits of the hash, so buckets are in hash order and evenly filled."""
+    return F.shiftright(hashed, HASH_BITS - bits).cast("int")
+
+
+def bucket_sizes(rows: DataFrame, key: str, seed: int, bits: int) -> DataFrame:
+    """Rows of each bucket and of the buckets before it."""
+    sizes = rows.groupBy(bucket_of(hash31(F.col(key), seed=seed), bits).alias("_bucket")).agg(
+        F.count("*").alias("_size")
+    )
+    return sizes.withColumn("_before", rows_before("_bucket", "_size"))
+
+
+def rows_before(bucket: str, size: str) -> Column:
+    """Running total of the earlier buckets. One task, but one row per bucket only."""
+    earlier = Window.orderBy(bucket).rowsBetween(Window.unboundedPreceding, -1)
+    return F.coalesce(F.sum(size).over(earlier), F.lit(0))
 
 
 def with_shuffled_position(
-    rows: DataFrame, key: str, seed: int = 42, buckets: int = BUCKETS, name: str = "position"
+    rows: DataFrame, key: str, seed: int = 42, bits: int | None = None, name: str = "position"
 ) -> DataFrame:
-    """Number the rows 1..n in a pseudo-random order fixed by key and seed.
+    """Number the rows 1..n in a pseudo-random order fixed by the row id `key` and seed.
 
-    Rows are ordered by a hash of the key, ties by the key. The hash range is cut into
-    equal buckets, so each holds an even share whatever the keys are; rows are numbered
-    within their bucket and shifted by the size of the buckets before it.
+    Rows are ordered by a hash of the id, ties by the id. They are numbered within ranges
+    of the hash, which hold an even share whatever the ids are, and shifted by the size of
+    the ranges before.
     """
-    width = PRIME // buckets + 1
-    hashed = hash31(F.col(key), seed=seed)
-    placed = rows.withColumn("_hash", hashed).withColumn(
-        "_bucket", F.floor(F.col("_hash") / width).cast("int")
-    )
-    sizes = rows.groupBy(F.floor(hashed / width).cast("int").alias("_bucket")).agg(
-        F.count("*").alias("_size")
+    bits = bits or bucket_bits(rows.sparkSession)
+    placed = rows.withColumn("_hash", hash31(F.col(key), seed=seed)).withColumn(
+        "_bucket", bucket_of(F.col("_hash"), bits)
     )
-    offsets = sizes.select("_bucket", rows_before(F.col("_bucket"), F.col("_size")).alias("_before"))
+    offsets = bucket_sizes(rows, key, seed, bits).select("_bucket", "_before")
     within = Window.partitionBy("_bucket").orderBy("_hash", key)
-    # At most `buckets` rows are broadcast, whatever the size of the data.
+    # At most 2**bits rows are broadcast, whatever the size of the data. Every row has a
+    # bucket; the left join only keeps a null test of the hash out of the scan.
     return (
         placed.withColumn("_row", F.row_number().over(within))
-        .join(F.broadcast(offsets), "_bucket")
+        .join(F.broadcast(offsets), "_bucket", "left")
         .withColumn(name, F.col("_before") + F.col("_row"))
         .drop("_bucket", "_hash", "_row", "_before")
     )
 
 
-def rows_before(bucket: Column, size: Column) -> Column:
-    """Running total of the earlier buckets. One task, but one row per bucket only."""
-    earlier = Window.orderBy(bucket).rowsBetween(Window.unboundedPreceding, -1)
-    return F.coalesce(F.sum(size).over(earlier), F.lit(0))
+def first_positions(
+    rows: DataFrame, key: str, fraction: float, seed: int = 42, bits: int | None = None
+) -> DataFrame:
+    """The rows whose shuffled position is at most round(fraction * n).
+
+    No row is shuffled: the bucket sizes tell in which bucket the last position falls, only
+    that bucket is numbered, and the hash and id found there cut the whole table.
+    """
+    bits = bits or max(bucket_bits(rows.sparkSession), 16)
+    hashed = hash31(F.col(key), seed=seed)
+    sizes = bucket_sizes(rows, key, seed, bits)
+    target = rows.agg(F.round(F.count("*") * fraction).cast("bigint").alias("target")).scalar()
+    last = sizes.withColumn("_need", target - F.col("_before")).where(
+        (F.col("_need") > 0) & (F.col("_need") <= F.col("_size"))
+    )
+    within = Window.partitionBy("_bucket").orderBy("_hash", key)
+    cut = (
+        rows.select(key, hashed.alias("_hash"))
+        .withColumn("_bucket", bucket_of(F.col("_hash"), bits))
+        # One row: the bucket the last position falls in.
+        .join(F.broadcast(last), "_bucket")
+        .withColumn("_row", F.row_number().over(within))
+        .where(F.col("_row") == F.col("_need"))
+        .select(F.struct("_hash", F.col(key).alias("_key")).alias("cut"))
+    )
+    return rows.where(F.struct(hashed.alias("_hash"), F.col(key).alias("_key")) <= cut.scalar())

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from dayledger.functions.hashing import hash31
-from dayledger.operators.positions import with_shuffled_position
+from dayledger.operators.positions import first_positions
 
 
 def random_split(rows: DataFrame, train: float = 0.8, seed: int = 42) -> tuple[DataFrame, DataFrame]:
@@ -32,10 +32,8 @@ def with_fold(rows: DataFrame, key: str, folds: int = 3, seed: int = 42) -> Data
 
 
 def exact_sample(rows: DataFrame, key: str, fraction: float = 0.8, seed: int = 42) -> DataFrame:
-    """Exactly round(fraction * n) rows, chosen by a shuffle of the keys."""
-    size = rows.agg(F.round(F.count("*") * fraction).cast("bigint").alias("size"))
-    placed = with_shuffled_position(rows, key, seed)
-    return placed.where(F.col("position") <= size.scalar()).drop("position")
+    """Exactly round(fraction * n) rows; `key` must identify a row."""
+    return first_positions(rows, key, fraction, seed)
 
 
 def holdout(rows: DataFrame, train: DataFrame, key: str) -> DataFrame:

@@ -15,6 +15,7 @@ from dayledger.operators.features import feature_columns
 from dayledger.operators.splits import hash_split, random_split
 from dayledger.plans import model as modelling
 from dayledger.schema import BATCH, DAY, LABEL, LEDGER, MODEL_VERSIONS, RUN_METRICS, RUN_PARAMS
+from dayledger.session import sibling_session
 from dayledger.sinks import append_table, drop_days, metrics_long, read_table, write_days
 from dayledger.sinks.days import AS_READ
 from dayledger.sources import (
@@ -32,9 +33,9 @@ START = dt.date(2019, 8, 1)
 TAKE_N = 3
 MAX_SCAN_DAYS = 30
 
-# Days counted by aggregates observed on the write. Two columns per day, so a long
-# catch-up counts with a grouping instead.
-OBSERVED_DAYS = 100
+# Days counted by aggregates observed on the write, two for each day and row. A longer
+# catch-up is counted by a grouping, which reads the files a second time.
+OBSERVED_DAYS = 16
 
 
 @dataclass(frozen=True)
@@ -154,9 +155,9 @@ def clean_days(
     The write has no shuffle, so the observed counts come from its final tasks, whose
     updates Spark counts once even when lost executors make it run some of them again.
     """
-    rows = read_raw(spark, day_glob(landing, days))
-    seen = Observation()
     observed = len(days) <= OBSERVED_DAYS
+    rows = read_raw(sibling_session(spark) if observed else spark, day_glob(landing, days))
+    seen = Observation()
     source = rows.observe(seen, *count_columns(days, drop_nan)) if observed else rows
     write_days(with_lineage(clean(source, drop_nan), run_id), store.history, AS_READ)
     if observed:

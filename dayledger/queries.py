@@ -17,9 +17,17 @@ from dayledger.operators import features, metrics, registry, splits, synthesis
 from dayledger.operators.cleaning import clean, clean_counts, with_lineage
 from dayledger.operators.positions import with_shuffled_position
 from dayledger.plans import cycle, model
-from dayledger.schema import DAY, LABEL, RAW, RUN_ID, SOURCE_KEY
+from dayledger.schema import (
+    DAY,
+    LABEL,
+    MODEL_VERSIONS,
+    RAW,
+    RUN_ID,
+    RUN_METRICS,
+    SOURCE_KEY,
+)
 from dayledger.session import scratch_path
-from dayledger.sinks import metrics_long, write_csv, write_days
+from dayledger.sinks import append_table, metrics_long, read_table, write_csv, write_days
 from dayledger.sources import (
     calendar,
     labelled,
@@ -413,9 +421,8 @@ def random_split(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("hash_split")
 def hash_split(spark: SparkSession, sf_dir: str) -> DataFrame:
-    train, test = splits.hash_split(clean_tx(spark, sf_dir), KEY)
-    parts = train.withColumn("part", F.lit("train")), test.withColumn("part", F.lit("test"))
-    return parts[0].unionByName(parts[1]).select(KEY, "part")
+    part = F.when(splits.in_train(F.col(KEY)), "train").otherwise("test")
+    return clean_tx(spark, sf_dir).select(KEY, part.alias("part"))
 
 
 @query("kfold_assign")
@@ -540,13 +547,24 @@ def daily_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@once_per_session
+def run_tables(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
+    """The metrics of the daily runs and their versions, as stored tables."""
+    runs = daily_runs(spark, sf_dir)
+    metrics_path, versions_path = scratch_path(spark, "metrics"), scratch_path(spark, "versions")
+    append_table(metrics_long(runs, list(model.METRICS)), metrics_path)
+    versions = registry.model_versions(runs.select("model_name", "run_id", "run_ts"))
+    append_table(versions, versions_path)
+    return metrics_path, versions_path
+
+
 def daily_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return metrics_long(daily_runs(spark, sf_dir), list(model.METRICS))
+    return read_table(spark, run_tables(spark, sf_dir)[0], RUN_METRICS)
 
 
 def daily_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    runs = daily_runs(spark, sf_dir).select("model_name", "run_id", "run_ts")
-    return registry.model_versions(runs).select("model_name", "version", "run_id")
+    stored = read_table(spark, run_tables(spark, sf_dir)[1], MODEL_VERSIONS)
+    return stored.select("model_name", "version", "run_id")
 
 
 def daily_history(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -41,3 +41,17 @@ def scratch_root(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new, unused path below the scratch folder."""
     return f"{scratch_root(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def sibling_session(spark: SparkSession) -> SparkSession:
+    """Another session of the same application with the same settings.
+
+    Observing a metric leaves state in a session that Spark 4.1 cannot serialise, and a
+    random forest fitted there drags its session into every task. Observed writes run in
+    a sibling, so cleaning and training can share one application.
+    """
+    other = spark.newSession()
+    for key, value in spark.conf.getAll.items():
+        if spark.conf.isModifiable(key):
+            other.conf.set(key, value)
+    return other

@@ -9,7 +9,8 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
-from dayledger.functions import day_of_path, source_key
+from dayledger.functions import day_of_path, day_text_of_path, source_key
+from dayledger.functions.keys import SOURCE_SUFFIX
 from dayledger.schema import DAY, RAW, SOURCE_KEY
 
 LISTING = f"{DAY} DATE, source_key STRING, n_files BIGINT, n_bytes BIGINT"
@@ -123,7 +124,8 @@ def stream_raw(
 
 
 def with_source(rows: DataFrame, schema: StructType) -> DataFrame:
-    day = day_of_path(F.col("_metadata.file_path"))
-    return rows.select(*schema.names, day.alias(DAY)).withColumn(
-        SOURCE_KEY, source_key(F.col(DAY))
-    )
+    day = day_text_of_path(F.col("_metadata.file_path"))
+    named = rows.select(*schema.names, day.alias("_day"))
+    return named.withColumns(
+        {DAY: F.col("_day").cast("date"), SOURCE_KEY: F.concat("_day", F.lit(SOURCE_SUFFIX))}
+    ).drop("_day")
