@@ -8,6 +8,7 @@ from collections.abc import Iterable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from dayledger.schema import DAY
+from dayledger.sources.filesystem import delete
 
 AS_READ = "as_read"
 REBALANCE = "rebalance"
@@ -56,7 +57,5 @@ def drop_days(spark: SparkSession, root: str, days: Iterable[dt.date]) -> None:
     Dynamic overwrite replaces only days it writes rows for, so the old rows of a day
     that is empty now would stay.
     """
-    jvm = spark.sparkContext._jvm
     for day in days:
-        path = jvm.org.apache.hadoop.fs.Path(f"{root.rstrip('/')}/{DAY}={day:%Y-%m-%d}")
-        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+        delete(spark, f"{root.rstrip('/')}/{DAY}={day:%Y-%m-%d}")

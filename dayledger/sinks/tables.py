@@ -6,7 +6,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
-from dayledger.sources.landing import path_missing
+from dayledger.sources.filesystem import path_missing
 
 
 def append_table(rows: DataFrame, path: str) -> None:

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from dayledger.functions import day_of_path, is_day_name
 from dayledger.schema import DAY, LABEL
+from dayledger.sources.filesystem import glob
 
 
 def scan_history(spark: SparkSession, root: str | list[str]) -> DataFrame:
@@ -29,19 +30,9 @@ def read_history(spark: SparkSession, root: str, days: list[dt.date] | None = No
 
 
 def folder_days(spark: SparkSession, root: str) -> DataFrame:
-    """Names of the day folders directly below the root that hold files.
-
-    Lists every file, so prefer the ledger (`latest_days(ledger)`) on a long history.
-    """
-    folder = F.substring_index(F.regexp_replace("path", "/[^/]*$", ""), "/", -1)
-    return (
-        spark.read.format("binaryFile")
-        .option("recursiveFileLookup", True)
-        .load(root)
-        .select(folder.alias("name"))
-        .distinct()
-        .where(is_day_name(F.col("name")))
-    )
+    """Names of the plain day folders directly below the root, empty ones included."""
+    names = [(path.rsplit("/", 1)[-1],) for path, _ in glob(spark, f"{root.rstrip('/')}/*")]
+    return spark.createDataFrame(names, "name STRING").where(is_day_name(F.col("name")))
 
 
 def latest_days(days: DataFrame, last_n: int, day: str = DAY) -> DataFrame:

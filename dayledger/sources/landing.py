@@ -5,52 +5,41 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Iterable
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
-from dayledger.functions import day_of_path, day_text_of_path, source_key
+from dayledger.functions import day_text_of_path, source_key
 from dayledger.functions.keys import SOURCE_SUFFIX
 from dayledger.schema import DAY, RAW, SOURCE_KEY
+from dayledger.sources.filesystem import glob
 
-LISTING = f"{DAY} DATE, source_key STRING, n_files BIGINT, n_bytes BIGINT"
+ANY_DAY = "[0-9][0-9][0-9][0-9]-[0-9][0-9]-[0-9][0-9]"
 
 
-def path_missing(error: AnalysisException) -> bool:
-    return error.getCondition() == "PATH_NOT_FOUND"
-
-
-def day_glob(root: str, days: Iterable[dt.date]) -> str:
-    """One glob for the files or folders of the given days."""
-    names = ",".join(f"{d:%Y-%m-%d}" for d in days)
-    return f"{root.rstrip('/')}/{{{DAY}=,}}{{{names}}}{{.txt,}}"
+def day_glob(root: str, days: Iterable[dt.date] | None = None) -> str:
+    """One pattern for the files or folders of the given days, or of every day."""
+    names = ANY_DAY if days is None else "{" + ",".join(f"{d:%Y-%m-%d}" for d in days) + "}"
+    return f"{root.rstrip('/')}/{{{DAY}=,}}{names}{{{SOURCE_SUFFIX},}}"
 
 
 def list_days(spark: SparkSession, root: str, days: Iterable[dt.date] | None = None) -> DataFrame:
-    """One row per existing day: date, key, files and bytes, from a file listing.
+    """One row per existing day: date, key, path and bytes (zero for a folder).
 
-    File contents are not read, so an empty file counts as existing. With `days`
-    only their names are listed, whatever else has piled up below the root. Only a
-    missing path means "nothing there"; any other failure is raised.
+    Contents are not read, so an empty file exists. With `days` only their names are asked
+    for. Only a missing path means "nothing there"; any other failure is raised.
     """
-    target = root if days is None else day_glob(root, days)
-    try:
-        files = (
-            spark.read.format("binaryFile")
-            .option("recursiveFileLookup", True)
-            .load(target)
-            .select("path", "length")
-        )
-    except AnalysisException as error:
-        if not path_missing(error):
-            raise
-        return spark.createDataFrame([], LISTING)
+    entries = []
+    for path, n_bytes in glob(spark, day_glob(root, days)):
+        name = path.rsplit("/", 1)[-1].removeprefix(f"{DAY}=").removesuffix(SOURCE_SUFFIX)
+        entries.append((name, path, n_bytes))
+    listed = spark.createDataFrame(entries, "name STRING, path STRING, n_bytes BIGINT")
+    # A name like 2019-13-99 has the shape of a day but is none.
     return (
-        files.withColumn(DAY, day_of_path(F.col("path")))
+        listed.withColumn(DAY, F.col("name").try_cast("date"))
         .where(F.col(DAY).isNotNull())
         .groupBy(DAY)
-        .agg(F.count("*").alias("n_files"), F.sum("length").alias("n_bytes"))
-        .select(DAY, source_key(F.col(DAY)).alias("source_key"), "n_files", "n_bytes")
+        .agg(F.min("path").alias("path"), F.sum("n_bytes").alias("n_bytes"))
+        .select(DAY, source_key(F.col(DAY)).alias("source_key"), "path", "n_bytes")
     )
 
 

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from dayledger.functions import parse_day, strip_blanks, strip_suffix
 from dayledger.schema import DAY
-from dayledger.sources.landing import path_missing
+from dayledger.sources.filesystem import path_missing
 
 
 def parse_watermark(text: Column, start: dt.date | None = None) -> Column:
