@@ -35,24 +35,16 @@ def join_path(root: Column, *parts: Column) -> Column:
     return F.concat_ws("/", heads, *tails)
 
 
-def day_text_of_path(path: Column) -> Column:
-    """Name of the day a file belongs to, or null when its path has none.
+def day_of_file(path: Column, name: Column) -> Column:
+    """Day that a file, given by its path and name, belongs to, or null.
 
-    The file or one of the two folders above names it: `2019-08-23.txt`,
-    `2019-08-23/part-0.parquet`, `src_date=2019-08-23/batch_id=7/part-0.parquet`. Evaluated
-    for every row of a scan, hence plain substrings and no pattern.
+    The file names it (`2019-08-23.txt`), or its folder does: `2019-08-23/part-0.parquet`,
+    `src_date=2019-08-23/part-0.csv`, `2019-08-23.txt/part-0.csv`. Evaluated for every row
+    of a scan: the long path is only looked at when the short name is no day.
     """
-
-    def named(level: int) -> Column:
-        segment = F.substring_index(F.substring_index(path, "/", -level), "/", 1)
-        name = F.substring_index(F.substring_index(segment, ".", 1), "=", -1)
-        return F.when((F.length(name) == 10) & name.try_cast("date").isNotNull(), name)
-
-    return F.coalesce(named(1), named(2), named(3))
-
-
-def day_of_path(path: Column) -> Column:
-    return day_text_of_path(path).cast("date")
+    folder = F.substring_index(F.substring_index(path, "/", -2), "/", 1)
+    value = F.substring_index(folder, "=", -1)
+    return F.coalesce(*(F.substring(text, 1, 10).try_cast("date") for text in (name, value)))
 
 
 def split_uri(uri: Column, schemes: tuple[str, ...] = OBJECT_SCHEMES, strict: bool = True) -> Column:

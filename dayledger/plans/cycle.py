@@ -35,7 +35,7 @@ MAX_SCAN_DAYS = 30
 
 # Days counted by aggregates observed on the write, two for each day and row. A longer
 # catch-up is counted by a grouping, which reads the files a second time.
-OBSERVED_DAYS = 16
+OBSERVED_DAYS = 8
 
 
 @dataclass(frozen=True)
@@ -156,7 +156,8 @@ def clean_days(
     updates Spark counts once even when lost executors make it run some of them again.
     """
     observed = len(days) <= OBSERVED_DAYS
-    rows = read_raw(sibling_session(spark) if observed else spark, day_glob(landing, days))
+    session = sibling_session(spark) if observed else spark
+    rows = read_raw(session, day_glob(landing, days), base=landing)
     seen = Observation()
     source = rows.observe(seen, *count_columns(days, drop_nan)) if observed else rows
     write_days(with_lineage(clean(source, drop_nan), run_id), store.history, AS_READ)

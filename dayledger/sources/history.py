@@ -6,7 +6,7 @@ import datetime as dt
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from dayledger.functions import day_of_path, is_day_name
+from dayledger.functions import day_of_file, is_day_name
 from dayledger.schema import DAY, LABEL
 from dayledger.sources.filesystem import glob
 
@@ -19,7 +19,8 @@ def scan_history(spark: SparkSession, root: str | list[str]) -> DataFrame:
     """
     roots = [root] if isinstance(root, str) else root
     rows = spark.read.option("recursiveFileLookup", True).parquet(*roots)
-    return rows.withColumn(DAY, day_of_path(F.col("_metadata.file_path")))
+    day = day_of_file(F.col("_metadata.file_path"), F.col("_metadata.file_name"))
+    return rows.withColumn(DAY, day)
 
 
 def read_history(spark: SparkSession, root: str, days: list[dt.date] | None = None) -> DataFrame:

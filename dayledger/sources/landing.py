@@ -8,7 +8,7 @@ from collections.abc import Iterable
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
-from dayledger.functions import day_text_of_path, source_key
+from dayledger.functions import day_of_file, source_key
 from dayledger.functions.keys import SOURCE_SUFFIX
 from dayledger.schema import DAY, RAW, SOURCE_KEY
 from dayledger.sources.filesystem import glob
@@ -82,20 +82,23 @@ def next_days(
     )
 
 
-def read_raw(spark: SparkSession, paths: str | list[str], schema: StructType = RAW) -> DataFrame:
+def read_raw(
+    spark: SparkSession,
+    paths: str | list[str],
+    schema: StructType = RAW,
+    base: str | None = None,
+) -> DataFrame:
     """Typed scan of daily comma files, plus the day and key their path names.
 
-    The header line is consumed but its names are ignored: columns bind by
-    position. A cell that does not parse is null, a short row is padded with nulls
-    and extra cells are dropped. Pass a schema with BIGINT ids where int overflows.
+    The header line is consumed but its names are ignored: columns bind by position. A cell
+    that does not parse is null, a short row is padded with nulls and extra cells are
+    dropped. Pass a schema with BIGINT ids where int overflows, and the landing root as
+    `base` when the paths are single days below it.
     """
-    rows = (
-        spark.read.schema(schema)
-        .option("header", True)
-        .option("recursiveFileLookup", True)
-        .csv(paths)
-    )
-    return with_source(rows, schema)
+    reader = spark.read.schema(schema).option("header", True)
+    if base:
+        reader = reader.option("basePath", base)
+    return with_source(reader.csv(paths), schema)
 
 
 def stream_raw(
@@ -113,8 +116,11 @@ def stream_raw(
 
 
 def with_source(rows: DataFrame, schema: StructType) -> DataFrame:
-    day = day_text_of_path(F.col("_metadata.file_path"))
-    named = rows.select(*schema.names, day.alias("_day"))
-    return named.withColumns(
-        {DAY: F.col("_day").cast("date"), SOURCE_KEY: F.concat("_day", F.lit(SOURCE_SUFFIX))}
-    ).drop("_day")
+    """Day and key: free in `src_date=` folders, where the day is a partition value."""
+    name = F.col("_metadata.file_name")
+    if DAY in rows.columns:
+        day, key = F.col(DAY).cast("date"), source_key(F.col(DAY))
+    else:
+        day = day_of_file(F.col("_metadata.file_path"), name)
+        key = F.when(F.endswith(name, F.lit(SOURCE_SUFFIX)), name).otherwise(source_key(day))
+    return rows.select(*schema.names, day.alias(DAY), key.alias(SOURCE_KEY))

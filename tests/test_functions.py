@@ -23,14 +23,13 @@ def one(spark, column):
         ("s3a://b/2019-01-01/2019-08-23.txt", "2019-08-23"),
         ("file:/b/by_file/2019-08-23/part-0.snappy.parquet", "2019-08-23"),
         ("/b/src_date=2019-08-23/part-00000-ab.c000.csv", "2019-08-23"),
-        ("/b/src_date=2019-08-23/batch_id=2024/part-0.parquet", "2019-08-23"),
         ("/b/2019-08-23.txt/part-0.csv", "2019-08-23"),
         ("/b/part-0.csv", None),
         ("/b/2019-02-30.txt", None),
     ],
 )
-def test_day_of_path(spark, path, day):
-    got = one(spark, fn.day_of_path(F.lit(path)))
+def test_day_of_file(spark, path, day):
+    got = one(spark, fn.day_of_file(F.lit(path), F.lit(path.rsplit("/", 1)[-1])))
     assert (str(got) if got else None) == day
 
 
