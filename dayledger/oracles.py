@@ -163,8 +163,10 @@ def long_features(value: str) -> str:
 
 def z_scores() -> str:
     stats = ", ".join(f"avg({c}) AS {c}_mean, stddev_samp({c}) AS {c}_sd" for c in FEATURES)
+    # Adding zero turns a rounded -0.0 into 0.0.
     value = (
-        "CASE WHEN {c}_sd = 0 THEN 0.0 ELSE round((CAST({c} AS DOUBLE) - {c}_mean) / {c}_sd, 4) END"
+        "CASE WHEN {c}_sd = 0 THEN 0.0 "
+        "ELSE round((CAST({c} AS DOUBLE) - {c}_mean) / {c}_sd, 4) + CAST(0 AS DOUBLE) END"
     )
     return f"WITH {CLEAN}, s AS (SELECT {stats} FROM c) {long_features(value)}"
 
