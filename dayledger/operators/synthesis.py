@@ -45,54 +45,42 @@ def synthesize(
 ) -> DataFrame:
     """One transaction per id 0..n-1; the last ones are fraud, then ids are shuffled.
 
-    Every value is a function of the id, so a recomputed partition gets the same rows.
+    Every value is a function of the id, so a recomputed partition gets the same rows, and
+    only the ids are shuffled: the other columns are drawn afterwards.
     """
-    rows = ids.withColumn(
-        "fraud", (F.col("id") >= F.floor(n * (1 - fraud_rate))).cast("int")
-    )
+    is_fraud = (F.col("id") >= F.floor(n * (1 - fraud_rate))).cast("int")
+    rows = with_shuffled_position(ids.select("id"), "id", seed).withColumn("fraud", is_fraud)
+    i = F.col("id")
 
     def by_class(values: tuple[float, float]) -> Column:
         return F.when(F.col("fraud") == 1, F.lit(values[1])).otherwise(F.lit(values[0]))
 
-    i = F.col("id")
-    drawn = rows.select(
-        "id",
-        "fraud",
-        F.exp(by_class(AMOUNT_MU) + by_class(AMOUNT_SIGMA) * standard_normal(i, 1, seed)).alias("amount"),
+    minutes_ago = F.make_dt_interval(mins=uniform_int(i, 13, 1, MINUTES, seed))
+    amount = by_class(AMOUNT_MU) + by_class(AMOUNT_SIGMA) * standard_normal(i, 1, seed)
+    ratio = by_class(RATIO_MEAN) + by_class(RATIO_SD) * standard_normal(i, 7, seed)
+    return rows.select(
+        transaction_id(F.col("position") - 1).alias("transaction_id"),
+        (F.lit(anchor).cast("timestamp") - minutes_ago).alias("timestamp"),
+        F.exp(amount).alias("amount"),
         uniform_int(i, 3, 0, HOURS, seed).alias("hour_of_day"),
         uniform_int(i, 4, 0, WEEKDAYS, seed).alias("day_of_week"),
         exponential(i, 5, by_class(HOME_SCALE), seed).alias("distance_from_home"),
         exponential(i, 6, by_class(LAST_SCALE), seed).alias("distance_from_last_transaction"),
-        (by_class(RATIO_MEAN) + by_class(RATIO_SD) * standard_normal(i, 7, seed)).alias(
-            "ratio_to_median_purchase_price"
-        ),
+        ratio.alias("ratio_to_median_purchase_price"),
         bernoulli(i, 9, by_class(REPEAT_P), seed).alias("repeat_retailer"),
         bernoulli(i, 10, by_class(CHIP_P), seed).alias("used_chip"),
         bernoulli(i, 11, by_class(PIN_P), seed).alias("used_pin_number"),
         bernoulli(i, 12, by_class(ONLINE_P), seed).alias("online_order"),
-        (
-            F.lit(anchor).cast("timestamp")
-            - F.make_dt_interval(mins=uniform_int(i, 13, 1, MINUTES, seed))
-        ).alias("timestamp"),
-    )
-    placed = with_shuffled_position(drawn, "id", seed)
-    return placed.select(
-        F.format_string("tx_%08d", F.col("position") - 1).alias("transaction_id"),
-        "timestamp",
-        "amount",
-        "hour_of_day",
-        "day_of_week",
-        "distance_from_home",
-        "distance_from_last_transaction",
-        "ratio_to_median_purchase_price",
-        "repeat_retailer",
-        "used_chip",
-        "used_pin_number",
-        "online_order",
         "fraud",
     )
 
 
+def transaction_id(number: Column) -> Column:
+    """`tx_` and at least eight digits."""
+    digits = number.cast("string")
+    return F.concat(F.lit("tx_"), F.lpad(digits, F.greatest(F.length(digits), F.lit(8)), F.lit("0")))
+
+
 def union_classes(normal: DataFrame, fraud: DataFrame) -> DataFrame:
     """All rows of both classes, duplicates included."""
     return normal.unionByName(fraud)

@@ -105,10 +105,12 @@ def stream_raw(
     spark: SparkSession, root: str, files_per_trigger: int, schema: StructType = RAW
 ) -> DataFrame:
     """The same scan as a stream that meets each file once."""
+    partitioned = bool(glob(spark, f"{root.rstrip('/')}/{DAY}=*"))
     rows = (
         spark.readStream.schema(schema)
         .option("header", True)
-        .option("recursiveFileLookup", True)
+        # Any other folders below the root are looked into, but hold no partition values.
+        .option("recursiveFileLookup", not partitioned)
         .option("maxFilesPerTrigger", files_per_trigger)
         .csv(root)
     )

@@ -8,6 +8,7 @@ from pyspark.errors import AnalysisException
 from conftest import row
 from dayledger.operators.cleaning import clean
 from dayledger.schema import DAY
+from dayledger.sources.landing import day_glob
 from dayledger.sources import calendar, list_days, next_days, read_raw, source_exists
 
 DAY0 = dt.date(2019, 8, 23)
@@ -113,3 +114,17 @@ def test_source_exists_flags_each_day(spark, landing):
     days = calendar(spark, dt.date(2019, 8, 22), 3)
     rows = source_exists(days, list_days(spark, landing.root)).orderBy(DAY).collect()
     assert [r["file_exists"] for r in rows] == [False, True, False]
+
+
+@pytest.mark.parametrize("name", ["2019-08-23.txt", "2019-08-23", "src_date=2019-08-23"])
+def test_a_day_may_be_a_folder_of_parts(spark, tmp_path, name):
+    folder = tmp_path / "landing" / name
+    folder.mkdir(parents=True)
+    for part in range(2):
+        (folder / f"part-{part}.csv").write_text("h\n" + row(part, "2019-08-23") + "\n")
+    root = str(tmp_path / "landing")
+    listing = list_days(spark, root, [DAY0]).collect()
+    assert [r["source_key"] for r in listing] == ["2019-08-23.txt"]
+    rows = read_raw(spark, day_glob(root, [DAY0]), base=root).collect()
+    assert {(r[DAY], r["_source_key"]) for r in rows} == {(DAY0, "2019-08-23.txt")}
+    assert len(rows) == 2

@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import pytest
 from pyspark.sql import functions as F
 
 from conftest import days_from, row
@@ -37,8 +38,9 @@ def test_stream_equals_batch_and_reads_late_files(spark, landing, tmp_path):
     assert rows_of(read_history(spark, history)) == rows_of(clean(read_raw(spark, landing.root)))
 
 
-def test_a_day_in_two_batches_keeps_both(spark, tmp_path):
-    folder = tmp_path / "landing" / "2019-08-23.txt"
+@pytest.mark.parametrize("name", ["2019-08-23.txt", "2019-08-23", "src_date=2019-08-23"])
+def test_a_day_in_two_batches_keeps_both(spark, tmp_path, name):
+    folder = tmp_path / "landing" / name
     folder.mkdir(parents=True)
 
     class Area:
@@ -50,3 +52,4 @@ def test_a_day_in_two_batches_keeps_both(spark, tmp_path):
     history = read_history(spark, str(tmp_path / "history"))
     assert sorted(r["tranaction_id"] for r in history.collect()) == [1, 2]
     assert {r["batch_id"] for r in history.collect()} == {0, 1}
+    assert {r["_source_key"] for r in history.collect()} == {"2019-08-23.txt"}

@@ -3,7 +3,7 @@ from __future__ import annotations
 import pytest
 from pyspark.sql import functions as F
 
-from dayledger.operators.synthesis import ANCHOR, synth_transactions, union_classes
+from dayledger.operators.synthesis import ANCHOR, synth_transactions, transaction_id, union_classes
 
 
 @pytest.fixture(scope="module")
@@ -70,3 +70,9 @@ def test_rows_do_not_depend_on_partitions(spark, rows):
 def test_union_keeps_duplicates(spark):
     one = spark.createDataFrame([(1, 0)], "a INT, b INT")
     assert union_classes(one, one.select("b", "a")).count() == 2
+
+
+def test_long_ids_keep_their_digits(spark):
+    numbers = spark.createDataFrame([(7,), (123_456_789_012,)], "n BIGINT")
+    got = [r[0] for r in numbers.select(transaction_id(F.col("n"))).collect()]
+    assert got == ["tx_00000007", "tx_123456789012"]
