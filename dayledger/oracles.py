@@ -272,6 +272,7 @@ FROM pages""",
             for i, c in enumerate(FEATURES)
         ),
         "standardize": z_scores(),
+        "random_split_rows": all_clean,
         "hash_split": f"""WITH {CLEAN}
 SELECT tranaction_id, CASE WHEN {h31('tranaction_id')} % 10 < 8 THEN 'train' ELSE 'test' END AS part FROM c""",
         "kfold_assign": f"""WITH {CLEAN}

@@ -419,6 +419,13 @@ def random_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     return train.withColumn("part", F.lit("train")).unionByName(test.withColumn("part", F.lit("test")))
 
 
+@query("random_split_rows")
+def random_split_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Both parts together, which must be the split rows: none lost, none twice."""
+    train, test = splits.random_split(clean_tx(spark, sf_dir))
+    return train.unionByName(test)
+
+
 @query("hash_split")
 def hash_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     part = F.when(splits.in_train(F.col(KEY)), "train").otherwise("test")
