@@ -26,7 +26,6 @@ from dayledger.sources import (
     read_raw,
     training_set,
 )
-from dayledger.sources.landing import day_glob
 
 # Defaults of a cycle.
 START = dt.date(2019, 8, 1)
@@ -128,16 +127,17 @@ def clean_cycle(
     after = ledger_watermark(store.ledger(spark), start).first()[DAY]
     window = [after + dt.timedelta(days=i) for i in range(1, max_scan_days + 1)]
     listing = list_days(spark, landing, window)
-    found = {
-        r[DAY]: r["source_key"] for r in next_days(listing, after, take_n, max_scan_days).collect()
-    }
+    found = {r[DAY]: r for r in next_days(listing, after, take_n, max_scan_days).collect()}
     if not found:
         return Cleaned(run_id, after)
-    counts = clean_days(spark, landing, store, list(found), run_id, drop_nan)
+    paths = {day: entry["path"] for day, entry in found.items()}
+    counts = clean_days(spark, landing, store, paths, run_id, drop_nan)
     drop_days(spark, store.history, [d for d, (_, kept) in counts.items() if not kept])
     # Timezone-aware, so the session zone does not shift the stored instant.
     now = dt.datetime.now(dt.timezone.utc)
-    entries = [(d, found[d], run_id, raw, kept, now) for d, (raw, kept) in counts.items()]
+    entries = [
+        (d, found[d]["source_key"], run_id, raw, kept, now) for d, (raw, kept) in counts.items()
+    ]
     append_table(spark.createDataFrame(entries, LEDGER).coalesce(1), store.path("ledger"))
     return Cleaned(run_id, max(found), counts)
 
@@ -146,18 +146,19 @@ def clean_days(
     spark: SparkSession,
     landing: str,
     store: Store,
-    days: list[dt.date],
+    paths: dict[dt.date, str],
     run_id: str,
     drop_nan: bool = False,
 ) -> dict[dt.date, tuple[int, int]]:
-    """Write the cleaned days in one scan and return the raw and clean rows of each.
+    """Write the days found at `paths` in one scan; returns the raw and clean rows of each.
 
     The write has no shuffle, so the observed counts come from its final tasks, whose
     updates Spark counts once even when lost executors make it run some of them again.
     """
+    days = list(paths)
     observed = len(days) <= OBSERVED_DAYS
     session = sibling_session(spark) if observed else spark
-    rows = read_raw(session, day_glob(landing, days), base=landing)
+    rows = read_raw(session, list(paths.values()), base=landing)
     seen = Observation()
     source = rows.observe(seen, *count_columns(days, drop_nan)) if observed else rows
     write_days(with_lineage(clean(source, drop_nan), run_id), store.history, AS_READ)

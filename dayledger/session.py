@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import tempfile
 import uuid
 
@@ -19,7 +20,6 @@ def local_session(cores: str | int = "*", memory: str = "12g", name: str = "dayl
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", memory)
-        .config(CHECKPOINT_DIR, tempfile.mkdtemp(prefix="dayledger-"))
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
@@ -33,9 +33,12 @@ def scratch_root(spark: SparkSession) -> str:
         return configured.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError(f"set {CHECKPOINT_DIR} to a folder every executor can reach")
-    root = tempfile.mkdtemp(prefix="dayledger-")
-    spark.conf.set(CHECKPOINT_DIR, root)
-    return root
+    return local_scratch(spark.sparkContext.applicationId)
+
+
+@functools.cache
+def local_scratch(application: str) -> str:
+    return tempfile.mkdtemp(prefix=f"dayledger-{application}-")
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

@@ -76,7 +76,7 @@ def next_days(
     # The calendar holds max_scan_days rows, whatever the size of the data.
     return (
         listing.join(F.broadcast(days), DAY, "left_semi")
-        .select(DAY, "source_key")
+        .select(DAY, "source_key", "path")
         .orderBy(DAY)
         .limit(take_n)
     )

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -74,10 +75,9 @@ def test_empty_day_is_ledgered_and_clears_old_rows(spark, landing, tmp_path):
     assert (done.n_raw, done.n_clean) == (61, 53)
     # Ingesting the first day again, now without a clean row, removes its old rows.
     landing("2019-08-23", [row(1, "2019-08-23", customer="0")])
-    assert cycle.clean_days(spark, landing.root, store, [dt.date(2019, 8, 23)], "again") == {dt.date(2019, 8, 23): (1, 0)}
-    cycle.drop_days(spark, store.history, [dt.date(2019, 8, 23)])
-    from pathlib import Path
-
+    again = {dt.date(2019, 8, 23): f"{landing.root}/2019-08-23.txt"}
+    assert cycle.clean_days(spark, landing.root, store, again, "again") == {dt.date(2019, 8, 23): (1, 0)}
+    cycle.drop_days(spark, store.history, again)
     assert not (Path(store.history) / "src_date=2019-08-23").exists()
 
 
@@ -90,8 +90,8 @@ def test_only_empty_days(spark, landing, tmp_path):
 def test_a_repeated_run_changes_nothing(spark, landing, tmp_path):
     fill(landing, ["2019-08-23", "2019-08-24"])
     store = Store(str(tmp_path / "store"))
-    days = [dt.date(2019, 8, 23), dt.date(2019, 8, 24)]
-    first = cycle.clean_days(spark, landing.root, store, days, "died_before_the_ledger")
+    paths = {dt.date(2019, 8, d): f"{landing.root}/2019-08-{d}.txt" for d in (23, 24)}
+    first = cycle.clean_days(spark, landing.root, store, paths, "died_before_the_ledger")
     assert watermark(spark, store) == START
     done = clean_cycle(spark, landing.root, store, START)
     assert done.counts == first
