@@ -33,13 +33,16 @@ def f1_of(counts: DataFrame) -> DataFrame:
     Each cell counts towards the support of its label and the size of its predicted
     class, so one grouping by class gives all three counts.
     """
+    none = F.lit(0).cast("bigint")
+
+    def entry(side: str, support: Column, predicted: Column) -> Column:
+        return F.struct(
+            F.col(side).alias("class"), support.alias("support"), predicted.alias("predicted")
+        )
+
+    both = F.array(entry("label", F.col("n"), none), entry("prediction", none, F.col("n")))
     cells = counts.select(
-        F.explode(
-            F.array(
-                F.struct(F.col("label").alias("class"), F.col("n").alias("support"), F.lit(0).cast("bigint").alias("predicted")),
-                F.struct(F.col("prediction").alias("class"), F.lit(0).cast("bigint").alias("support"), F.col("n").alias("predicted")),
-            )
-        ).alias("c"),
+        F.explode(both).alias("c"),
         F.when(F.col("label") == F.col("prediction"), F.col("n")).otherwise(0).alias("hit"),
     )
     # A hit appears in both entries of its cell; half of the sum is the count, and

@@ -258,8 +258,8 @@ SELECT event_id, day || '.txt' AS source_key, concat_ws('/', regexp_replace(root
   day AS day_name FROM d""",
         "run_id_format": """SELECT event_id, strftime(ts, 'clean_%Y%m%d_%H%M%S') AS clean_run,
   strftime(ts, 'fraud_rf_%Y%m%d_%H%M%S') AS train_run FROM events""",
-        "split_uri": """SELECT page_id, CASE WHEN url ~ '^https?://.*' THEN regexp_extract(url, '^https?://([^/?#]*)', 1) END
-    AS bucket,
+        "split_uri": """SELECT page_id,
+  CASE WHEN url ~ '^https?://.*' THEN regexp_extract(url, '^https?://([^/?#]*)', 1) END AS bucket,
   CASE WHEN url ~ '^https?://.*' THEN regexp_extract(url, '^https?://[^/?#]*/*([^?#]*)', 1) END AS key
 FROM pages""",
         "numeric_feature_columns": f"WITH {CLEAN} "

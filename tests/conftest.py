@@ -42,7 +42,14 @@ def landing(tmp_path):
     return add
 
 
-def row(i: int, day: str, amount: str = "10.5", customer: str = "5", terminal: str = "6", fraud: str | None = None) -> str:
+def row(
+    i: int,
+    day: str,
+    amount: str = "10.5",
+    customer: str = "5",
+    terminal: str = "6",
+    fraud: str | None = None,
+) -> str:
     label = str(i % 2) if fraud is None else fraud
     return f"{i},{day} 10:00:00,{customer},{terminal},{amount},{i},{i % 7},{label},0"
 

@@ -50,7 +50,8 @@ def test_a_hot_day_gets_several_writers(spark, tmp_path):
     size = spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes")
     spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "64KB")
     try:
-        rows = day_rows(spark, F.lit(dt.date(2019, 8, 23)), 200_000).withColumn("pad", F.sha2(F.col("tranaction_id").cast("string"), 256))
+        rows = day_rows(spark, F.lit(dt.date(2019, 8, 23)), 200_000)
+        rows = rows.withColumn("pad", F.sha2(F.col("tranaction_id").cast("string"), 256))
         write_days(rows.repartition(16), str(root))
     finally:
         spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", size)
