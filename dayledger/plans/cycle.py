@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from dataclasses import dataclass, field
 
 from pyspark.ml import PipelineModel
@@ -189,7 +190,8 @@ def train_cycle(
     """
     if metric not in modelling.METRICS:
         raise ValueError(f"metric must be one of {modelling.METRICS}")
-    run_id = run_id or stamped("fraud_rf")
+    # Two runs may start in one second; the suffix keeps their metrics and models apart.
+    run_id = run_id or f"{stamped('fraud_rf')}_{uuid.uuid4().hex[:8]}"
     rows = training_set(spark, store.history, last_n, store.ledger(spark))
     columns = feature_columns(rows, LABEL, (BATCH, *exclude))
     if not columns:
