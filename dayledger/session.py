@@ -3,8 +3,11 @@
 from __future__ import annotations
 
 import functools
+import os
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import SparkSession
 
@@ -58,3 +61,31 @@ def sibling_session(spark: SparkSession) -> SparkSession:
         if spark.conf.isModifiable(key):
             other.conf.set(key, value)
     return other
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Let the Python workers of this application import the package.
+
+    Nothing is sent where PYTHONPATH already names the package's folder.
+    """
+    package = Path(__file__).resolve().parent
+    if str(package.parent) not in os.environ.get("PYTHONPATH", "").split(os.pathsep):
+        _ship(spark, spark.sparkContext.applicationId, package)
+
+
+@functools.lru_cache(maxsize=1)
+def _package_zip(package: Path) -> str:
+    target = os.path.join(tempfile.mkdtemp(prefix="dayledger-package-"), f"{package.name}.zip")
+    with zipfile.ZipFile(target, "w") as out:
+        for file in sorted(package.rglob("*.py")):
+            out.write(file, file.relative_to(package.parent))
+    return target
+
+
+_shipped: set[str] = set()
+
+
+def _ship(spark: SparkSession, application: str, package: Path) -> None:
+    if application not in _shipped:
+        spark.sparkContext.addPyFile(_package_zip(package))
+        _shipped.add(application)
