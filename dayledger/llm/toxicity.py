@@ -7,8 +7,10 @@ ordered thresholds cut the same score into them:
 
 The output is the expected severity, the sum of P(grade > k), with the likeliest grade.
 
-Features are words and the first 4, 5 and 6 bytes of longer words, kept by exact hash where
-they stand out in toxic texts (log odds over their standard error). Labels say only toxic or
+Features are words and the first 4, 5 and 6 bytes of longer words, by exact hash. Candidates
+stand out in toxic texts (log odds over their standard error); of these each next one kept
+explains most toxic texts that the ones before it do not, so that the other words of a text
+with many copies are not mistaken for signs of toxicity. Labels say only toxic or
 not; a toxic text's grade comes from how many of the standing-out words it holds, cut at the
 thirds of the toxic sample.
 
@@ -34,8 +36,9 @@ from dayledger.llm import words as W
 from dayledger.llm.classifier import labelled_sample
 
 SAMPLE = 20_000
-KEPT = 2_048
-STANDS_OUT = 4.0
+CANDIDATES = 6_000
+KEPT = 600
+STANDS_OUT = 3.0
 GRADES = 4
 _PREFIXES = (4, 5, 6)
 
@@ -81,7 +84,7 @@ class Severity:
         return 1 / (1 + np.exp(-np.clip(score[:, None] - self.thresholds, -40, 40)))
 
 
-def select_features(rows: DataFrame, kept: int = KEPT, least: float = STANDS_OUT) -> np.ndarray:
+def candidate_features(rows: DataFrame, kept: int = CANDIDATES, least: float = STANDS_OUT) -> np.ndarray:
     """Hashes of the features that stand out in toxic texts of (text, label)."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -105,13 +108,40 @@ def select_features(rows: DataFrame, kept: int = KEPT, least: float = STANDS_OUT
     return np.sort(np.array([r["feature"] for r in top.collect()], np.int64).view(np.uint64))
 
 
-def fit_ordinal(rows: np.ndarray, feature: np.ndarray, value: np.ndarray, grade: np.ndarray, n_features: int, steps: int = 400, rate: float = 0.1, decay: float = 1e-4) -> tuple[np.ndarray, np.ndarray]:
+def pursue(row: np.ndarray, feature: np.ndarray, toxic: np.ndarray, n_features: int, kept: int = KEPT, fade: float = 0.25, least: float = 1.0) -> np.ndarray:
+    """Features chosen one after the other by the toxic weight they explain, less twice the clean texts they are in.
+
+    Each toxic text weighs 1, and `fade` times as much after each chosen feature that it holds.
+    """
+    order = np.argsort(feature, kind="stable")
+    edges = np.searchsorted(feature[order], np.arange(n_features + 1))
+    by_feature = row[order]
+    weight = toxic.astype(float)
+    clean = np.bincount(feature, weights=~toxic[row], minlength=n_features)
+    gain = np.bincount(feature, weights=weight[row], minlength=n_features) - 2 * clean
+    of_row = np.argsort(row, kind="stable")
+    first = np.searchsorted(row[of_row], np.arange(len(toxic) + 1))
+    chosen: list[int] = []
+    while len(chosen) < kept and n_features:
+        best = int(np.argmax(gain))
+        if gain[best] < least:
+            break
+        chosen.append(best)
+        held = by_feature[edges[best] : edges[best + 1]]
+        lost = weight[held] * (1 - fade)
+        weight[held] *= fade
+        for r, x in zip(held[lost > 1e-3], lost[lost > 1e-3], strict=True):
+            np.subtract.at(gain, feature[of_row[first[r] : first[r + 1]]], x)
+        gain[best] = -np.inf
+    return np.sort(np.array(chosen, np.int64))
+
+
+def fit_ordinal(rows: np.ndarray, feature: np.ndarray, value: np.ndarray, grade: np.ndarray, n_features: int, steps: int = 1_500, rate: float = 0.1, decay: float = 1e-5) -> tuple[np.ndarray, np.ndarray]:
     """(weights, ordered thresholds) by Adam on the cumulative-link log-likelihood.
 
     Thresholds are the first one and the logarithms of the gaps, so they stay in order.
     """
     n = max(1, len(grade))
-    above = grade[:, None] > np.arange(GRADES - 1)
     params = np.r_[np.zeros(n_features), 2.0, np.zeros(GRADES - 2)]
     mean, square = np.zeros_like(params), np.zeros_like(params)
     one = np.arange(len(grade))
@@ -135,17 +165,15 @@ def fit_ordinal(rows: np.ndarray, feature: np.ndarray, value: np.ndarray, grade:
         mean, square = 0.9 * mean + 0.1 * grad, 0.999 * square + 0.001 * grad**2
         params = params + rate * (mean / (1 - 0.9**t)) / (np.sqrt(square / (1 - 0.999**t)) + 1e-8)
     gaps = np.exp(params[n_features + 1 :])
-    assert above.shape == (len(grade), GRADES - 1)
     return params[:n_features], params[n_features] + np.r_[0, np.cumsum(gaps)]
 
 
 def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", sample: int = SAMPLE, doc: str = "doc_id", text: str = "text", usable=None) -> Severity:
     """Fit on at most `sample` labelled rows."""
     rows = labelled_sample(docs, labels, label, sample, doc, text, usable)
-    features = select_features(rows)
-    never = Severity(features[:0], np.zeros(0), np.full(GRADES - 1, 40.0))
+    features = candidate_features(rows)
     if not len(features):
-        return never
+        return Severity(features, np.zeros(0), np.full(GRADES - 1, 40.0))
     counter = Severity(features, np.zeros(len(features)), np.zeros(GRADES - 1))
 
     def vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -158,14 +186,17 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", sample: int
 
     found = rows.mapInArrow(vectors, "feature binary, times binary, label double").orderBy("feature", "times", "label").toArrow()  # at most `sample` rows
     feature = [np.frombuffer(x, np.int32) for x in found["feature"].to_pylist()]
-    times = [np.frombuffer(x, np.int32) for x in found["times"].to_pylist()]
+    row = np.repeat(np.arange(len(feature)), [len(x) for x in feature])
+    feature, times = np.concatenate(feature).astype(np.int64), np.concatenate([np.frombuffer(x, np.int32) for x in found["times"].to_pylist()])
     toxic = found["label"].to_numpy() > 0
-    held = np.array([x.sum() for x in times])
+    chosen = pursue(row, feature, toxic, len(features))
+    stays = np.isin(feature, chosen)
+    row, feature, times = row[stays], np.searchsorted(chosen, feature[stays]), times[stays]
+    held = np.bincount(row, weights=times, minlength=len(toxic))
     thirds = np.quantile(held[toxic], [1 / 3, 2 / 3])
     grade = np.where(toxic, 1 + (held > thirds[0]) + (held > thirds[1]), 0)
-    rows_of = np.repeat(np.arange(len(feature)), [len(x) for x in feature])
-    weights, thresholds = fit_ordinal(rows_of, np.concatenate(feature), np.log1p(np.concatenate(times)), grade, len(features))
-    return Severity(features, weights, thresholds)
+    weights, thresholds = fit_ordinal(row, feature, np.log1p(times), grade, len(chosen))
+    return Severity(features[chosen], weights, thresholds)
 
 
 def score_toxicity(docs: DataFrame, model: Severity, text: str = "text", least: float = 0.5, out: str = "toxicity") -> DataFrame:
