@@ -5,22 +5,22 @@ A document is the set of its distinct 5-word shingles. Documents link where 100
 
 1. Documents with the same set are one class; only the class goes on, under its smallest id.
 2. Each class has a row of minwise tokens. In each of several independent trees a class goes
-   from the root to one child for each of a few chosen tokens, so two classes of similarity s
-   share a given child with probability s. A node with one class is dropped.
-3. A node of at most `small` classes is compared exhaustively. In a larger one, blocks of at
-   most `small` classes are first tied together by a maximum spanning forest of estimated
-   similarity, which is linear in the node whatever its density.
-4. Estimates only propose. Every proposed pair is confirmed on the two full sets.
-5. Links give groups. Nodes that still hold several groups are searched again: all pairs across
-   groups in small nodes; larger nodes first branch on, by further tokens that depend on the
-   path, until they are small or, at the last level, are compared block against block. So a
-   dense group costs no more than its spanning forest, and no link between groups is left out
-   because a node is large.
-
-A pair of similarity 0.75 shares no child of one tree with probability (1 - 0.75) ** branches
-at the first level; with 4 trees of 3 branches that is 6e-8, and about 1e-7 with the levels
-below. The estimate keeps pairs from `floor` equal tokens on; a pair of 0.75 falls below with
-probability 2e-6.
+   from the root to one child for each of a few chosen tokens, and from there again, so two
+   classes of similarity s take a given branch together with probability s at each step. A node
+   with one class is dropped.
+3. A node proposes a maximum spanning forest of its classes' estimated similarity, down to
+   `floor` equal tokens: linear in the node, whatever its density. A node of more than `small`
+   classes does so in blocks, and also branches on by tokens that depend on the path, until its
+   nodes are small or the last level is reached.
+4. Every proposed pair is confirmed on the two full sets; links give groups.
+5. Groups that proposed pairs tie together without a link form a cluster. There the classes
+   outside the largest group are compared exhaustively with all others, on the full sets, block
+   against block. So a dense group costs no more than its forests, and a link that the forests
+   passed over is still found.
+
+Two classes of similarity 0.75 stay together in no node of a tree (3 branches, then 2) with
+probability 0.026, in none of 4 trees with 5e-7. The estimate keeps pairs from `floor` equal
+tokens on; a pair of 0.75 falls below with probability 4e-5. Both shrink fast above 0.75.
 
 Defined results: null and empty texts have an empty set, link with nothing and are kept; a
 text of fewer words is one shingle; a null id links with nothing and is kept, with a null
@@ -43,9 +43,11 @@ SHINGLE = 5
 TOKENS = 48
 FLOOR = 24
 TREES = 4
-BRANCHES = 3
-SMALL = 256
-LEVELS = 6
+BRANCHES = (3, 2)
+FURTHER = 3
+SMALL = 512
+LEVELS = 3
+BLOCK = 256
 LEAST = 75
 
 _SEEDS = W.mix(np.arange(1, TOKENS + 1, dtype=np.uint64) * np.uint64(0xA0761D6478BD642F)) | np.uint64(1)
@@ -106,23 +108,36 @@ def _chosen(path: np.ndarray, branch: int) -> np.ndarray:
     return (W.mix(path ^ (_SEEDS[branch])) % np.uint64(TOKENS)).astype(np.int64)
 
 
-def root_paths(classes: DataFrame, trees: int = TREES, branches: int = BRANCHES) -> DataFrame:
-    """(node, rep) at the first level of every tree; the roots' tokens are all different ones."""
-    positions = np.random.default_rng(7).permutation(TOKENS)[: trees * branches]
+def tree_paths(trees: int = TREES, branches: tuple[int, int] = BRANCHES) -> np.ndarray:
+    """The two tokens that each path from a root goes by; first steps differ in all trees."""
+    dice = np.random.default_rng(7)
+    first = dice.permutation(TOKENS)[: trees * branches[0]]
+    paths = []
+    for token in first:
+        others = np.setdiff1d(np.arange(TOKENS), [token])
+        paths += [(token, other) for other in dice.permutation(others)[: branches[1]]]
+    return np.array(paths)
+
+
+def root_paths(classes: DataFrame, paths: np.ndarray) -> DataFrame:
+    """(node, path, rep): the nodes of every class two steps below the roots."""
 
     def go(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        number = np.arange(len(paths), dtype=np.uint64)
         for batch in batches:
             if not len(batch):
                 continue
-            tokens = _token_matrix(batch["tokens"])[:, positions].astype(np.uint64)
-            nodes = W.mix(tokens ^ (positions.astype(np.uint64) << np.uint64(32)) ^ _SEEDS[0])
-            reps = np.repeat(batch["rep"].to_numpy(zero_copy_only=False), len(positions))
-            yield pa.RecordBatch.from_arrays([pa.array(nodes.reshape(-1).view(np.int64)), pa.array(reps)], names=["node", "rep"])
+            tokens = _token_matrix(batch["tokens"]).astype(np.uint64)
+            both = (tokens[:, paths[:, 0]] << np.uint64(32)) | tokens[:, paths[:, 1]]
+            nodes = W.mix(both ^ W.mix(number + _SEEDS[0])).reshape(-1).view(np.int64)
+            reps = np.repeat(batch["rep"].to_numpy(zero_copy_only=False), len(paths))
+            path = np.tile(number.astype(np.int32), len(batch))
+            yield pa.RecordBatch.from_arrays([pa.array(nodes), pa.array(path), pa.array(reps)], names=["node", "path", "rep"])
 
-    return classes.select("rep", "tokens").mapInArrow(go, "node bigint, rep bigint")
+    return classes.select("rep", "tokens").mapInArrow(go, "node bigint, path int, rep bigint")
 
 
-def branch_paths(members: DataFrame, branches: int = BRANCHES) -> DataFrame:
+def branch_paths(members: DataFrame, branches: int = FURTHER) -> DataFrame:
     """(node, rep) one level below (node, rep, tokens)."""
 
     def go(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -191,47 +206,33 @@ def _pairs_of(reps: np.ndarray, a: np.ndarray, b: np.ndarray) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(both[:, 0]), pa.array(both[:, 1])], names=["a", "b"])
 
 
-def _proposed(floor: int, forest_from: int, across: bool):
-    """Candidate pairs in each node of (node, rep, tokens[, component]) sorted by node.
-
-    Nodes of fewer than forest_from classes give all pairs, larger ones a spanning forest.
-    With across, only pairs of different components count.
-    """
+def _proposed(floor: int):
+    """Spanning forests of the nodes of (node, rep, tokens) sorted by node."""
 
     def go(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in _grouped(batches, "node"):
             table = table.combine_chunks()
-            node = table["node"].to_numpy()
-            reps = table["rep"].to_numpy()
+            node, reps = table["node"].to_numpy(), table["rep"].to_numpy()
             tokens = _token_matrix(table["tokens"])
-            group = table["component"].to_numpy() if across else reps
             first = np.flatnonzero(np.r_[True, node[1:] != node[:-1]])
             size = np.diff(np.r_[first, len(node)])
-            of_row = np.repeat(size, size)
-            step = 1
-            while True:  # all nodes of fewer than forest_from at once, partners `step` rows apart
-                a = np.flatnonzero((node[:-step] == node[step:]) & (of_row[:-step] < forest_from)) if step < len(node) else []
-                if not len(a):
-                    break
-                a = a[(group[a] != group[a + step])]
-                a = a[_alike(tokens, a, a + step) >= floor]
-                if len(a):
-                    yield _pairs_of(reps, a, a + step)
-                step += 1
-            for at, n in zip(first[size >= forest_from], size[size >= forest_from], strict=True):
-                edges = np.array(_forest(tokens[at : at + n], floor), np.int64).reshape(-1, 2) + at
-                edges = edges[group[edges[:, 0]] != group[edges[:, 1]]]
-                if len(edges):
-                    yield _pairs_of(reps, edges[:, 0], edges[:, 1])
+            two = first[size == 2]
+            two = two[_alike(tokens, two, two + 1) >= floor]
+            found = [np.stack([two, two + 1], axis=1)]
+            for at, n in zip(first[size > 2].tolist(), size[size > 2].tolist(), strict=True):
+                found.append(np.array(_forest(tokens[at : at + n], floor), np.int64).reshape(-1, 2) + at)
+            edges = np.concatenate(found)
+            edges = edges[reps[edges[:, 0]] != reps[edges[:, 1]]]
+            if len(edges):
+                yield _pairs_of(reps, edges[:, 0], edges[:, 1])
 
     return go
 
 
-def candidate_pairs(members: DataFrame, floor: int, forest_from: int, across: bool = False) -> DataFrame:
-    """Distinct (a, b), a < b, proposed by nodes; members has node, rep, tokens and, for across, component."""
-    columns = ["node", "rep", "tokens"] + ["component"] * across
-    sorted_rows = members.select(*columns).repartition("node").sortWithinPartitions("node", "rep")
-    return sorted_rows.mapInArrow(_proposed(floor, forest_from, across), "a bigint, b bigint").distinct()
+def proposed_pairs(nodes: DataFrame, reps: DataFrame, floor: int) -> DataFrame:
+    """(a, b), a < b, proposed by the nodes of (node, rep)."""
+    rows = nodes.select("node", "rep").join(reps.select("rep", "tokens"), "rep")
+    return rows.repartition("node").sortWithinPartitions("node").mapInArrow(_proposed(floor), "a bigint, b bigint")
 
 
 def confirm(pairs: DataFrame, sets: DataFrame, least: int = LEAST) -> DataFrame:
@@ -264,25 +265,43 @@ def full_sets(docs: DataFrame, reps: DataFrame, doc: str = "doc_id", text: str =
     return wanted.select("rep", pack(F.col("text")).alias("shingles"))
 
 
+def _contracted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Stars for the edges of one batch: what they connect, tied to its smallest member."""
+    for batch in batches:
+        if not len(batch):
+            continue
+        ids, ends = np.unique(np.concatenate([batch["a"].to_numpy(), batch["b"].to_numpy()]), return_inverse=True)
+        owner = list(range(len(ids)))
+        for x, y in zip(ends[: len(batch)].tolist(), ends[len(batch) :].tolist(), strict=True):
+            while owner[x] != x:
+                owner[x] = x = owner[owner[x]]
+            while owner[y] != y:
+                owner[y] = y = owner[owner[y]]
+            owner[max(x, y)] = min(x, y)
+        for x in range(len(ids)):
+            owner[x] = owner[owner[x]]
+        root = np.array(owner)
+        tied = root != np.arange(len(ids))
+        yield pa.RecordBatch.from_arrays([pa.array(ids[tied]), pa.array(ids[root[tied]])], names=["u", "v"])
+
+
 def components(links: DataFrame, keep: Scratch) -> DataFrame:
     """(rep, component): the smallest id that links (a, b) connect to; ids without links are not in it.
 
-    Alternates large-star and small-star steps; a node's neighbours meet only in a minimum,
-    which is aggregated before the shuffle, and in a join that can be split.
+    The links of each batch are contracted first. Then large-star and small-star steps take
+    turns; a node's neighbours meet only in a minimum, which is aggregated before the shuffle,
+    and in a join that can be split.
     """
-    edges = keep(links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u <> v").distinct(), "edges")
-    before = None
+    edges = keep(links.select("a", "b").mapInArrow(_contracted, "u bigint, v bigint"), "edges")
     while True:
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-        large = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+        large = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
         own = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(own, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v")
+        small = large.join(own, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
         edges = keep(own.select("u", F.col("m").alias("v")).unionByName(small).distinct(), "edges")
-        now = edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        if now == before:
+        if edges.select("u").join(edges.select(F.col("v").alias("u")), "u", "left_semi").isEmpty() and edges.groupBy("u").count().where("count > 1").isEmpty():
             break
-        before = now
     stars = edges.select(F.col("u").alias("rep"), F.col("v").alias("component"))
     return stars.unionByName(edges.select(F.col("v").alias("rep"), F.col("v").alias("component")).distinct())
 
@@ -292,42 +311,94 @@ def _sized(paths: DataFrame) -> DataFrame:
     return paths.join(paths.groupBy("node").agg(F.count("*").alias("n")).where("n > 1"), "node")
 
 
-def _undecided(members: DataFrame) -> DataFrame:
-    """The rows of nodes that hold more than one component."""
-    spread = members.groupBy("node").agg(F.min("component").alias("low"), F.max("component").alias("high"))
-    return members.join(spread.where("low <> high").select("node"), "node", "left_semi")
-
-
 def _blocks(members: DataFrame, small: int) -> DataFrame:
     """Nodes of more than `small` classes dealt into blocks of about that many."""
     block = F.pmod(F.xxhash64("rep", "node"), F.ceil(F.col("n") / small))
     return members.withColumn("node", F.when(F.col("n") > small, F.xxhash64("node", block)).otherwise(F.col("node")))
 
 
-def _block_pairs(members: DataFrame, small: int) -> DataFrame:
-    """Every two blocks of a large node as a node of their own."""
-    own = F.pmod(F.xxhash64("rep", "node"), F.ceil(F.col("n") / small))
-    rows = members.withColumn("own", own)
-    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.ceil(F.col("n") / small) - 1)))
-    node = F.xxhash64("node", F.least("own", "other"), F.greatest("own", "other"))
-    return rows.withColumn("node", node).drop("own", "other")
-
-
-def _remaining_pairs(level: DataFrame, reps: DataFrame, keep: Scratch, floor: int, branches: int, small: int, levels: int) -> DataFrame:
-    """Pairs across components in the nodes that hold several, branching large nodes on."""
-    component = reps.select("rep", "component")
-    found = None
-    for depth in range(2, levels + 2):
-        nodes = keep(_undecided(level.join(component, "rep")), "nodes")
-        last = depth > levels
-        ready = nodes.where(F.col("n") <= small) if not last else _block_pairs(nodes, small)
-        pairs = candidate_pairs(ready.join(reps.select("rep", "tokens"), "rep"), floor, 1 << 30, across=True)
-        found = pairs if found is None else found.unionByName(pairs)
+def _all_proposed(reps: DataFrame, keep: Scratch, paths: np.ndarray, floor: int, small: int, levels: int) -> DataFrame:
+    """Distinct pairs from the nodes of every level."""
+    nodes = keep(_sized(root_paths(reps, paths)), "nodes")
+    pairs = keep(proposed_pairs(_blocks(nodes, small), reps, floor).distinct(), "pairs")
+    for _ in range(3, levels + 1):
         large = nodes.where(F.col("n") > small)
-        if last or large.isEmpty():
+        if large.isEmpty():
             break
-        level = _sized(branch_paths(large.join(reps.select("rep", "tokens"), "rep"), branches))
-    return found.distinct()
+        nodes = keep(_sized(branch_paths(large.join(reps.select("rep", "tokens"), "rep"))), "nodes")
+        pairs = pairs.unionByName(keep(proposed_pairs(_blocks(nodes, small), reps, floor).distinct(), "pairs"))
+    return pairs.distinct()
+
+
+def _common(sets: list[np.ndarray]) -> np.ndarray:
+    """Sizes of all pairwise intersections."""
+    owner = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+    _, token, times = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    shared = times[token] > 1
+    _, token = np.unique(token[shared], return_inverse=True)
+    owner = owner[shared]
+    out = np.zeros((len(sets), len(sets)), np.float32)
+    order = np.argsort(token, kind="stable")
+    token, owner = token[order], owner[order]
+    edges = np.searchsorted(token, np.arange(0, (token[-1] + 1 if len(token) else 0) + 4096, 4096))
+    for k, (a, b) in enumerate(zip(edges[:-1], edges[1:], strict=True)):
+        part = np.zeros((len(sets), 4096), np.float32)
+        part[owner[a:b], token[a:b] - 4096 * k] = 1
+        out += part @ part.T
+    return np.rint(out).astype(np.int64)
+
+
+def _linked_groups(least: int):
+    """Groups that a link ties, in each task of (task, component, shingles) sorted by task."""
+
+    def go(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table in _grouped(batches, "task"):
+            table = table.combine_chunks()
+            task, group = table["task"].to_numpy(), table["component"].to_numpy()
+            first = np.flatnonzero(np.r_[True, task[1:] != task[:-1]])
+            found = []
+            for a, b in zip(first.tolist(), [*first[1:].tolist(), len(task)], strict=True):
+                own = group[a:b]
+                sets = [np.frombuffer(x, np.uint64) for x in table["shingles"].slice(a, b - a).to_pylist()]
+                common = _common(sets)
+                size = np.array([len(s) for s in sets])
+                links = (100 * common >= least * (size[:, None] + size[None, :] - common)) & (own[:, None] > own[None, :])
+                x, y = np.nonzero(links)
+                found.append(np.unique(np.stack([own[x], own[y]], axis=1), axis=0))
+            every = np.concatenate(found)
+            if len(every):
+                yield pa.RecordBatch.from_arrays([pa.array(every[:, 0]), pa.array(every[:, 1])], names=["a", "b"])
+
+    return go
+
+
+def _between(clusters: DataFrame, sets: DataFrame, keep: Scratch, least: int, block: int) -> DataFrame:
+    """(a, b): linked components of each cluster, from (cluster, component, rep).
+
+    All classes but those of a cluster's largest component are dealt into blocks, and each of
+    these is compared with every block; the largest component is not compared with itself.
+    """
+    sizes = clusters.groupBy("cluster", "component").agg(F.count("*").alias("n"))
+    most = sizes.groupBy("cluster").agg(F.max_by("component", F.struct("n", "component")).alias("most"), F.max("n").alias("n_most"), F.sum("n").alias("n_all"))
+    rows = clusters.join(most, "cluster")
+    outer = F.col("component") != F.col("most")
+    one = F.col("n_all") <= block
+    n_outer = F.when(one, 1).otherwise(F.ceil((F.col("n_all") - F.col("n_most")) / block)).cast("int")
+    n_most = F.when(one, 0).otherwise(F.ceil(F.col("n_most") / block)).cast("int")
+    rows = rows.select("cluster", "component", "rep", n_outer.alias("n_outer"), n_most.alias("n_most"), outer.alias("outer"), one.alias("one"))
+    deal = lambda n: F.pmod(F.xxhash64("rep"), n).cast("int")
+    own = F.when(F.col("one"), 0).when(F.col("outer"), deal(F.col("n_outer"))).otherwise(F.col("n_outer") + deal(F.greatest("n_most", F.lit(1))))
+    rows = rows.withColumn("own", own)
+    facing = F.when(F.col("outer") | F.col("one"), F.sequence(F.lit(0), F.col("n_outer") + F.col("n_most") - 1)).otherwise(F.sequence(F.lit(0), F.col("n_outer") - 1))
+    rows = rows.withColumn("other", F.explode(facing))
+    task = F.xxhash64("cluster", F.least("own", "other"), F.greatest("own", "other")).alias("task")
+    dealt = keep(rows.select(task, "component", "rep"), "tasks")
+    given = dealt.join(sets, "rep").repartition("task").sortWithinPartitions("task")
+    return given.select("task", "component", "shingles").mapInArrow(_linked_groups(least), "a bigint, b bigint")
+
+
+def _named(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.explode(F.array("a", "b")).alias("rep")).distinct()
 
 
 def near_duplicates(
@@ -337,9 +408,10 @@ def near_duplicates(
     least: int = LEAST,
     floor: int = FLOOR,
     trees: int = TREES,
-    branches: int = BRANCHES,
+    branches: tuple[int, int] = BRANCHES,
     small: int = SMALL,
     levels: int = LEVELS,
+    block: int = BLOCK,
 ) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) for each row of docs."""
     keep = Scratch(docs)
@@ -350,29 +422,25 @@ def near_duplicates(
     tokens = full.withColumnRenamed("doc_id", "rep").join(classes, [*key, "rep"], "left_semi").select("rep", "tokens")
     reps = keep(tokens, "classes")
 
-    level = keep(_sized(root_paths(reps, trees, branches)), "nodes")
-    first = keep(candidate_pairs(_blocks(level, small).join(reps, "rep"), floor, 4), "pairs")
-    named = lambda pairs: pairs.select(F.col("a").alias("rep")).unionByName(pairs.select(F.col("b").alias("rep"))).distinct()
-    sets = keep(full_sets(docs, named(first), doc, text), "sets")
-    judged = keep(confirm(first, sets, least), "links")
+    pairs = keep(_all_proposed(reps, keep, tree_paths(trees, branches), floor, small, levels), "pairs")
+    sets = keep(full_sets(docs, _named(pairs), doc, text), "sets")
+    judged = keep(confirm(pairs, sets, least), "judged")
     groups = components(judged.where("linked"), keep)
-
-    labelled = reps.join(groups, "rep", "left").select("rep", "tokens", F.coalesce("component", "rep").alias("component"))
-    labelled = keep(labelled, "classes")
-    more = _remaining_pairs(level, labelled, keep, floor, branches, small, levels)
-    more = keep(more.join(first, ["a", "b"], "left_anti"), "pairs")
-    if not more.isEmpty():
-        missing = named(more).join(sets, "rep", "left_anti")
-        if not missing.isEmpty():
-            sets = sets.unionByName(keep(full_sets(docs, missing, doc, text), "sets"))
-        second = keep(confirm(more, sets, least).where("linked"), "links")
-        if not second.isEmpty():
-            groups = components(judged.where("linked").unionByName(second), keep)
-
-    owner = signed.select("doc_id", *key).join(classes, key, "left").join(groups, "rep", "left")
+    members = keep(sets.select("rep").distinct().join(groups, "rep", "left").select("rep", F.coalesce("component", "rep").alias("component")), "groups")
+
+    ends = judged.where("not linked").join(members.toDF("a", "u"), "a").join(members.toDF("b", "v"), "b")
+    open_pairs = keep(ends.where("u <> v").select(F.col("u").alias("a"), F.col("v").alias("b")).distinct(), "open")
+    if not open_pairs.isEmpty():
+        clusters = components(open_pairs, keep).toDF("component", "cluster")
+        between = keep(_between(members.join(clusters, "component"), sets, keep, least, block), "links")
+        if not between.isEmpty():
+            merged = components(between, keep).toDF("component", "merged")
+            members = members.join(merged, "component", "left").select("rep", F.coalesce("merged", "component").alias("component"))
+
+    owner = classes.join(members.distinct(), "rep", "left").select(*key, F.coalesce("component", "rep").alias("component"))
     alone = F.col("n_shingles") == 0
-    component = F.when(alone, F.col("doc_id")).when(F.col("doc_id").isNotNull(), F.coalesce("component", "rep"))
-    found = owner.select("doc_id", "n_shingles", component.alias("component_id"))
+    component = F.when(alone, F.col("doc_id")).when(F.col("doc_id").isNotNull(), F.col("component"))
+    found = signed.select("doc_id", *key).join(owner, key, "left").select("doc_id", "n_shingles", component.alias("component_id"))
     return found.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
 
 

@@ -39,7 +39,7 @@ from dayledger.llm.scratch import Scratch
 
 WINDOW = 50
 BLOCK = 25
-BATCH_BYTES = 32 << 20
+BATCH_BYTES = 8 << 20
 
 _SALT = np.uint64(0xE7037ED1A0B428DB)
 _PROBES = pa.schema([("shard", pa.int32()), ("batch", pa.int64()), ("keys", pa.binary()), ("at", pa.binary()), ("block", pa.binary()), ("twice", pa.binary())])
@@ -227,7 +227,7 @@ def repeated_windows(docs: DataFrame, doc: str = "doc_id", text: str = "text", w
     if 2 * block - 1 > window:
         raise ValueError("a window must hold a whole block wherever it begins")
     keep = Scratch(docs)
-    copied = keep(copies(manifest(docs, doc, text), window), "copies")
+    copied = keep(copies(keep(manifest(docs, doc, text), "manifest"), window), "copies")
     anchors = keep(find_anchors(docs, doc, text, block), "anchors").join(copied, "doc_id", "left_anti")
     windows = keep(anchored_windows(docs, anchors, doc, text, window, block), "windows")
     first = windows.groupBy("key").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last")).where("first < last")
