@@ -255,13 +255,16 @@ def confirm(pairs: DataFrame, sets: DataFrame, least: int = LEAST) -> DataFrame:
 
 
 def full_sets(docs: DataFrame, reps: DataFrame, doc: str = "doc_id", text: str = "text") -> DataFrame:
-    """(rep, shingles) of the documents named in reps; of repeated rows any one, their class has one set."""
+    """(rep, shingles) of the documents named in reps.
+
+    A sort-merge join at every size, as the ids grow with the documents.
+    """
 
     @F.arrow_udf("binary")
     def pack(texts: pa.Array) -> pa.Array:
         return pa.array([s.tobytes() for s in shingle_sets(texts)], pa.binary())
 
-    wanted = docs.select(F.col(doc).alias("rep"), F.col(text).alias("text")).join(reps, "rep", "left_semi")
+    wanted = docs.select(F.col(doc).alias("rep"), F.col(text).alias("text")).join(reps.hint("merge"), "rep", "left_semi")
     return wanted.select("rep", pack(F.col("text")).alias("shingles"))
 
 
