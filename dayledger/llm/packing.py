@@ -38,7 +38,7 @@ SEPARATOR = 0
 _PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 _CHUNK = r"[ \t\n\x0b\x0c\r]*[^ \t\n\x0b\x0c\r]+|[ \t\n\x0b\x0c\r]+"
 #: White space beyond the above that some pre-tokeniser may join with it: such texts are encoded whole.
-_ODD_SPACE = "[\x1c-\x1f\x85\xa0 ᠎ -‏ -  -⁤　﻿]"
+_ODD_SPACE = "[\x1c-\x1f\x85\xa0\u1680\u180e\u2000-\u200f\u2028-\u202f\u205f-\u2064\u3000\ufeff]"
 #: Text where words are apart by more than one space or one line end is cut into chunks more slowly.
 _UNEVEN = ("  ", "\n\n", " \n", "\n ", "\t", "\r", "\x0b", "\x0c")
 

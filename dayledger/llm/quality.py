@@ -189,7 +189,7 @@ def fit_votes(
     families = sorted({rule.family for rule in rules})
     own = np.array([[0] + [1 if rule.family == f else 2 for f in families] for rule in rules])
     start = np.stack([(JUDGE if rule.good else DETECTOR)[own[j]] for j, rule in enumerate(rules)])
-    shares = np.array([0.8] + [0.2 / len(families)] * len(families))
+    shares = np.array([0.7] + [0.3 / len(families)] * len(families))
     model = Votes(shares, start)
     onehot = (votes[:, :, None] == np.arange(3)).astype(float)
     for _ in range(rounds):
