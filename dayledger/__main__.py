@@ -7,11 +7,17 @@ from __future__ import annotations
 
 import argparse
 import datetime as dt
+import sys
+from pathlib import Path
+
+if not __package__:  # started by its path: the package's folder is not on the module path
+    sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 
 from pyspark.sql import SparkSession
 
 from dayledger.operators import synthesis
 from dayledger.plans import cycle, demo, model
+from dayledger.schema import RAW, wide
 from dayledger.streaming import stream_ingest
 
 
@@ -27,10 +33,14 @@ def parser() -> argparse.ArgumentParser:
 
     for sub in (command("clean", "landing", "store"), command("cycle", "landing", "store")):
         sub.add_argument("--start-date", type=dt.date.fromisoformat, default=cycle.START)
-        sub.add_argument("--take-n", type=int, default=cycle.TAKE_N)
-        sub.add_argument("--max-scan-days", type=int, default=cycle.MAX_SCAN_DAYS)
-        if sub.prog.endswith("cycle"):
+        whole = sub.prog.endswith("cycle")
+        sub.add_argument("--take-n", type=int, default=1 if whole else cycle.TAKE_N)
+        sub.add_argument("--max-scan-days", type=int, default=365 if whole else cycle.MAX_SCAN_DAYS)
+        sub.add_argument("--drop-nan", action="store_true", help="drop rows with a NaN amount")
+        sub.add_argument("--wide-ids", action="store_true", help="read ids as 64-bit integers")
+        if whole:
             training_options(sub)
+            sub.set_defaults(last_n=5, model_name="fraud_model")
     training_options(command("train", "store"))
     streaming = command("stream", "landing", "history", "checkpoint")
     streaming.add_argument("--files-per-trigger", type=int, default=cycle.TAKE_N)
@@ -46,13 +56,21 @@ def training_options(sub: argparse.ArgumentParser) -> None:
     sub.add_argument("--model-name", help="register the run as a version of this model")
     sub.add_argument("--promote-metric", choices=model.METRICS, default="auc")
     sub.add_argument("--split", choices=("random", "hash"), default="random")
+    sub.add_argument("--exclude", nargs="*", default=[], help="numeric columns that are no features")
     sub.add_argument("--output", help="also save the model here")
 
 
 def run(spark: SparkSession, args: argparse.Namespace) -> None:
     if args.command in ("clean", "cycle"):
         done = cycle.clean_cycle(
-            spark, args.landing, cycle.Store(args.store), args.start_date, args.take_n, args.max_scan_days
+            spark,
+            args.landing,
+            cycle.Store(args.store),
+            args.start_date,
+            args.take_n,
+            args.max_scan_days,
+            drop_nan=args.drop_nan,
+            schema=wide(RAW) if args.wide_ids else RAW,
         )
         print(f"{done.status}: {done.n_raw:,} -> {done.n_clean:,} rows, watermark {done.watermark}")
     if args.command in ("train", "cycle"):
@@ -62,6 +80,7 @@ def run(spark: SparkSession, args: argparse.Namespace) -> None:
             args.last_n,
             args.model_name,
             args.promote_metric,
+            tuple(args.exclude),
             split=args.split,
             output=args.output,
         )

@@ -40,11 +40,13 @@ def day_of_file(path: Column, name: Column) -> Column:
 
     The file names it (`2019-08-23.txt`), or its folder does: `2019-08-23/part-0.parquet`,
     `src_date=2019-08-23/part-0.csv`, `2019-08-23.txt/part-0.csv`. Evaluated for every row
-    of a scan: the long path is only looked at when the short name is no day.
+    of a scan: the long path is only looked at when the short name is no day. A name with
+    anything more, like `2019-08-23_backup.txt`, is no day.
     """
     folder = F.substring_index(F.substring_index(path, "/", -2), "/", 1)
     value = F.substring_index(folder, "=", -1)
-    return F.coalesce(*(F.substring(text, 1, 10).try_cast("date") for text in (name, value)))
+    whole = lambda text: (F.length(text) == 10) | ((F.length(text) == 10 + len(SOURCE_SUFFIX)) & F.endswith(text, F.lit(SOURCE_SUFFIX)))
+    return F.coalesce(*(F.when(whole(text), F.substring(text, 1, 10).try_cast("date")) for text in (name, value)))
 
 
 def split_uri(uri: Column, schemes: tuple[str, ...] = OBJECT_SCHEMES, strict: bool = True) -> Column:

@@ -15,14 +15,17 @@ def random_split(rows: DataFrame, train: float = 0.8, seed: int = 42) -> tuple[D
 
 
 def in_train(key: Column, tenths: int = 8, seed: int = 42) -> Column:
-    """True for about `tenths` tenths of the keys, always the same ones."""
-    return hash31(key, seed=seed) % 10 < tenths
+    """True for about `tenths` tenths of the keys, always the same ones; false for a null key."""
+    return F.coalesce(hash31(key, seed=seed) % 10 < tenths, F.lit(False))
 
 
 def hash_split(
     rows: DataFrame, key: str, tenths: int = 8, seed: int = 42
 ) -> tuple[DataFrame, DataFrame]:
-    """Split by a hash of the key: no shuffle, and the same on every partitioning."""
+    """Split by a hash of the key: no shuffle, and the same on every partitioning.
+
+    Rows without a key go to the second part, so none is lost and none is trained on.
+    """
     chosen = in_train(F.col(key), tenths, seed)
     return rows.where(chosen), rows.where(~chosen)
 

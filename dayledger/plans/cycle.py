@@ -9,13 +9,14 @@ from dataclasses import dataclass, field
 from pyspark.ml import PipelineModel
 from pyspark.ml.tuning import CrossValidatorModel
 from pyspark.sql import DataFrame, Observation, SparkSession, Window, functions as F
+from pyspark.sql.types import StructType
 
 from dayledger.operators import registry
-from dayledger.operators.cleaning import clean, clean_counts, count_columns, with_lineage
+from dayledger.operators.cleaning import clean, count_columns, with_lineage
 from dayledger.operators.features import feature_columns
 from dayledger.operators.splits import hash_split, random_split
 from dayledger.plans import model as modelling
-from dayledger.schema import BATCH, DAY, LABEL, LEDGER, MODEL_VERSIONS, RUN_METRICS, RUN_PARAMS
+from dayledger.schema import BATCH, DAY, LABEL, LEDGER, MODEL_VERSIONS, RAW, RUN_METRICS, RUN_PARAMS
 from dayledger.session import sibling_session
 from dayledger.sinks import append_table, drop_days, metrics_long, read_table, write_days
 from dayledger.sinks.days import AS_READ
@@ -27,15 +28,17 @@ from dayledger.sources import (
     read_raw,
     training_set,
 )
+from dayledger.sources.filesystem import glob
+from dayledger.sources.landing import require_files
 
 # Defaults of a cycle.
 START = dt.date(2019, 8, 1)
 TAKE_N = 3
 MAX_SCAN_DAYS = 30
 
-# Days counted by aggregates observed on the write, two for each day and row. A longer
-# catch-up is counted by a grouping, which reads the files a second time.
-OBSERVED_DAYS = 8
+# Days in one write. Each counts its days by aggregates observed on the write, two for each day
+# and row; a longer catch-up is more writes, and every file is read once.
+WRITE_DAYS = 4
 
 
 @dataclass(frozen=True)
@@ -117,6 +120,7 @@ def clean_cycle(
     max_scan_days: int = MAX_SCAN_DAYS,
     run_id: str | None = None,
     drop_nan: bool = False,
+    schema: StructType = RAW,
 ) -> Cleaned:
     """Clean the next `take_n` existing days after the watermark.
 
@@ -131,8 +135,8 @@ def clean_cycle(
     found = {r[DAY]: r for r in next_days(listing, after, take_n, max_scan_days).collect()}
     if not found:
         return Cleaned(run_id, after)
-    paths = {day: entry["path"] for day, entry in found.items()}
-    counts = clean_days(spark, landing, store, paths, run_id, drop_nan)
+    paths = {day: entry["paths"] for day, entry in found.items()}
+    counts = clean_days(spark, landing, store, paths, run_id, drop_nan, schema)
     drop_days(spark, store.history, [d for d, (_, kept) in counts.items() if not kept])
     # Timezone-aware, so the session zone does not shift the stored instant.
     now = dt.datetime.now(dt.timezone.utc)
@@ -147,27 +151,30 @@ def clean_days(
     spark: SparkSession,
     landing: str,
     store: Store,
-    paths: dict[dt.date, str],
+    paths: dict[dt.date, list[str]],
     run_id: str,
     drop_nan: bool = False,
+    schema: StructType = RAW,
 ) -> dict[dt.date, tuple[int, int]]:
-    """Write the days found at `paths` in one scan; returns the raw and clean rows of each.
+    """Write the days found at `paths`, a few in each scan; returns the raw and clean rows of each.
 
     The write has no shuffle, so the observed counts come from its final tasks, whose
     updates Spark counts once even when lost executors make it run some of them again.
     """
-    days = list(paths)
-    observed = len(days) <= OBSERVED_DAYS
-    session = sibling_session(spark) if observed else spark
-    rows = read_raw(session, list(paths.values()), base=landing)
-    seen = Observation()
-    source = rows.observe(seen, *count_columns(days, drop_nan)) if observed else rows
-    write_days(with_lineage(clean(source, drop_nan), run_id), store.history, AS_READ)
-    if observed:
+    session = sibling_session(spark)
+    counts = {}
+    days = sorted(paths)
+    for at in range(0, len(days), WRITE_DAYS):
+        group = days[at : at + WRITE_DAYS]
+        files = [path for day in group for path in paths[day]]
+        rows = read_raw(session, files, schema, base=landing)
+        require_files(rows, {path: size for file in files for path, size in glob(session, file)})
+        seen = Observation()
+        source = rows.observe(seen, *count_columns(group, drop_nan))
+        write_days(with_lineage(clean(source, drop_nan), run_id), store.history, AS_READ)
         counted = seen.get
-        return {d: (counted.get(f"raw_{d}") or 0, counted.get(f"clean_{d}") or 0) for d in days}
-    per_day = {r[DAY]: (r["n_raw"], r["n_clean"]) for r in clean_counts(rows, DAY, drop_nan).collect()}
-    return {d: per_day.get(d, (0, 0)) for d in days}
+        counts |= {d: (counted.get(f"raw_{d}") or 0, counted.get(f"clean_{d}") or 0) for d in group}
+    return counts
 
 
 def train_cycle(

@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import RandomForestClassifier
-from pyspark.ml.evaluation import BinaryClassificationEvaluator, MulticlassClassificationEvaluator
+from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.tuning import CrossValidator, CrossValidatorModel, ParamGridBuilder
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -87,16 +87,10 @@ def scored(predictions: DataFrame, label: str = LABEL) -> DataFrame:
 
 
 def evaluate(predictions: DataFrame, label: str = LABEL) -> dict[str, float]:
-    """AUC (of at most 1000 score bins, Spark's default), accuracy and weighted F1."""
+    """Exact AUC, accuracy and weighted F1 of a model's predictions."""
     rows = scored(predictions, label).persist()
     try:
-        by_score = BinaryClassificationEvaluator(rawPredictionCol="score", labelCol="label")
-        by_class = MulticlassClassificationEvaluator(labelCol="label", predictionCol="prediction")
-        return {
-            "auc": by_score.evaluate(rows),
-            "accuracy": by_class.setMetricName("accuracy").evaluate(rows),
-            "f1": by_class.setMetricName("f1").evaluate(rows),
-        }
+        return evaluate_exact(rows, "label", "prediction", "score").first().asDict()
     finally:
         rows.unpersist()
 

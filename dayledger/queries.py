@@ -172,7 +172,7 @@ def source_exists_by_day(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("next_source_files")
 def next_source_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return next_days(weekday_listing(spark, sf_dir), WATERMARK).drop("path")
+    return next_days(weekday_listing(spark, sf_dir), WATERMARK).drop("paths", "n_bytes")
 
 
 @query("parse_watermark")

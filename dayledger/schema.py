@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql.types import StructType
+from pyspark.sql.types import IntegerType, LongType, StructField, StructType
 
 LABEL = "tx_fraud"
 DAY = "src_date"
@@ -45,3 +45,12 @@ LEDGER = table(
 RUN_PARAMS = table(run_id="string", key="string", value="string")
 RUN_METRICS = table(run_id="string", key="string", value="double")
 MODEL_VERSIONS = table(model_name="string", version="integer", run_id="string", run_ts="timestamp")
+
+
+def wide(schema: StructType) -> StructType:
+    """The schema with 64-bit integers wherever it has 32-bit ones."""
+    fields = [
+        StructField(f.name, LongType() if f.dataType == IntegerType() else f.dataType, f.nullable)
+        for f in schema.fields
+    ]
+    return StructType(fields)

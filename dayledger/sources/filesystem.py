@@ -22,9 +22,9 @@ def hadoop_path(spark: SparkSession, path: str):
 
 
 def glob(spark: SparkSession, pattern: str) -> list[tuple[str, int]]:
-    """Path and length of what the pattern matches; nothing there is an empty list."""
+    """Path and length (zero for a folder) of what the pattern matches; nothing there is an empty list."""
     at, files = hadoop_path(spark, pattern)
-    return [(s.getPath().toString(), s.getLen()) for s in files.globStatus(at) or []]
+    return [(s.getPath().toString(), s.getLen() if s.isFile() else 0) for s in files.globStatus(at) or []]
 
 
 def delete(spark: SparkSession, path: str) -> None:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import functools
 from collections.abc import Iterable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -23,10 +24,11 @@ def day_glob(root: str, days: Iterable[dt.date] | None = None) -> str:
 
 
 def list_days(spark: SparkSession, root: str, days: Iterable[dt.date] | None = None) -> DataFrame:
-    """One row per existing day: date, key, path and bytes (zero for a folder).
+    """One row per existing day: date, key, every path it has, and the bytes of those that are files.
 
-    Contents are not read, so an empty file exists. With `days` only their names are asked
-    for. Only a missing path means "nothing there"; any other failure is raised.
+    A day may lie there as a file and as a folder at once, in at most four forms. Contents are
+    not read, so an empty file exists. Only a missing path means "nothing there"; any other
+    failure is raised.
     """
     entries = []
     for path, n_bytes in glob(spark, day_glob(root, days)):
@@ -38,8 +40,8 @@ def list_days(spark: SparkSession, root: str, days: Iterable[dt.date] | None = N
         listed.withColumn(DAY, F.col("name").try_cast("date"))
         .where(F.col(DAY).isNotNull())
         .groupBy(DAY)
-        .agg(F.min("path").alias("path"), F.sum("n_bytes").alias("n_bytes"))
-        .select(DAY, source_key(F.col(DAY)).alias("source_key"), "path", "n_bytes")
+        .agg(F.array_sort(F.collect_list("path")).alias("paths"), F.sum("n_bytes").alias("n_bytes"))
+        .select(DAY, source_key(F.col(DAY)).alias("source_key"), "paths", "n_bytes")
     )
 
 
@@ -76,7 +78,7 @@ def next_days(
     # The calendar holds max_scan_days rows, whatever the size of the data.
     return (
         listing.join(F.broadcast(days), DAY, "left_semi")
-        .select(DAY, "source_key", "path")
+        .select(DAY, "source_key", "paths", "n_bytes")
         .orderBy(DAY)
         .limit(take_n)
     )
@@ -98,7 +100,36 @@ def read_raw(
     reader = spark.read.schema(schema).option("header", True)
     if base:
         reader = reader.option("basePath", base)
-    return with_source(reader.csv(paths), schema)
+    # Partition discovery drops every plain file that lies next to a partition folder, so each
+    # layout is a scan of its own.
+    scans = [with_source(reader.csv(group), schema) for group in by_layout(spark, paths)]
+    return functools.reduce(DataFrame.unionByName, scans)
+
+
+def by_layout(spark: SparkSession, paths: str | list[str]) -> list[str | list[str]]:
+    """The paths in groups of one layout: `src_date=` folders, and the rest."""
+    if isinstance(paths, str):
+        root = paths.rstrip("/")
+        if any(c in root for c in "*?[{"):
+            found = [path for path, _ in glob(spark, root)]
+        else:
+            folders = [path for path, _ in glob(spark, f"{root}/{DAY}=*")]
+            found = folders + [path for path, _ in glob(spark, f"{root}/{ANY_DAY}*")] if folders else []
+        if not found:
+            return [paths]
+        paths = found
+    folder = lambda path: path.rstrip("/").rsplit("/", 1)[-1].startswith(f"{DAY}=")
+    groups = [[p for p in paths if folder(p)], [p for p in paths if not folder(p)]]
+    return [group for group in groups if group]
+
+
+def require_files(rows: DataFrame, sizes: dict[str, int]) -> None:
+    """Raise when a listed path with bytes gives no file to the scan of rows."""
+    read = [file.rstrip("/") for file in rows.inputFiles()]
+    for path, n_bytes in sizes.items():
+        name = path.rstrip("/").split(":", 1)[-1].lstrip("/")
+        if n_bytes and not any(f"{name}/" in f"{file}/" for file in read):
+            raise ValueError(f"{path} has {n_bytes} bytes but is not read")
 
 
 def stream_raw(

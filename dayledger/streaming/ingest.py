@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import StructType
 
 from dayledger.operators.cleaning import clean, with_lineage
-from dayledger.schema import BATCH, DAY
+from dayledger.schema import BATCH, DAY, RAW
 from dayledger.sinks.days import AS_READ, write_days
 from dayledger.sources.landing import stream_raw
 
@@ -19,21 +20,24 @@ def stream_ingest(
     files_per_trigger: int = 3,
     run_id: str = "stream",
     drop_nan: bool = False,
+    schema: StructType = RAW,
 ) -> StreamingQuery:
     """Clean every file not yet seen, then stop. The checkpoint is the cursor.
 
     Unlike the batch cycle it goes by arrival, so a late file is read, and there is no
     scan cap. Each micro-batch overwrites its own (day, batch) partitions: a batch that
     is replayed after a failure writes its rows once, and a day whose files arrive in
-    several batches keeps them all.
+    several batches keeps them all. The run id of a row ends in its batch. Files that name no
+    day are left out.
     """
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
-        rows = with_lineage(clean(batch, drop_nan), run_id).withColumn(BATCH, F.lit(batch_id))
+        dated = batch.where(F.col(DAY).isNotNull())
+        rows = with_lineage(clean(dated, drop_nan), f"{run_id}_{batch_id}").withColumn(BATCH, F.lit(batch_id))
         write_days(rows, history, AS_READ, (DAY, BATCH))
 
     return (
-        stream_raw(spark, landing, files_per_trigger)
+        stream_raw(spark, landing, files_per_trigger, schema)
         .writeStream.foreachBatch(write_batch)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)

@@ -1,5 +1,10 @@
 from __future__ import annotations
 
+import os
+import subprocess
+import sys
+from pathlib import Path
+
 from conftest import days_from, row
 from dayledger.__main__ import parser, run
 from dayledger.plans.cycle import Store
@@ -37,6 +42,15 @@ def test_demo_command(spark, tmp_path, capsys):
 
 
 def test_options_match_the_defaults():
-    args = parser().parse_args(["cycle", "l", "s", "--last-n", "5", "--model-name", "m"])
+    args = parser().parse_args(["clean", "l", "s"])
     assert (args.take_n, args.max_scan_days, str(args.start_date)) == (3, 30, "2019-08-01")
+    args = parser().parse_args(["cycle", "l", "s"])
+    assert (args.take_n, args.max_scan_days, args.model_name) == (1, 365, "fraud_model")
     assert (args.last_n, args.promote_metric, args.split) == (5, "auc", "random")
+
+
+def test_starts_by_its_path_from_any_folder(tmp_path):
+    script = Path(__file__).resolve().parents[1] / "dayledger" / "__main__.py"
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    done = subprocess.run([sys.executable, str(script), "--help"], cwd=tmp_path, env=env, capture_output=True, text=True, timeout=120)
+    assert done.returncode == 0 and "cycle" in done.stdout

@@ -6,10 +6,11 @@ from pathlib import Path
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import days_from, row
+from conftest import HEADER, days_from, row
 from dayledger.operators.cleaning import clean_counts
 from dayledger.plans import cycle, model
 from dayledger.plans.cycle import Store, clean_cycle, promotions, register, train_cycle, training_growth
+from dayledger.schema import RAW, wide
 from dayledger.sources import ledger_watermark, read_history, read_raw
 
 START = dt.date(2019, 8, 22)
@@ -75,7 +76,7 @@ def test_empty_day_is_ledgered_and_clears_old_rows(spark, landing, tmp_path):
     assert (done.n_raw, done.n_clean) == (61, 53)
     # Ingesting the first day again, now without a clean row, removes its old rows.
     landing("2019-08-23", [row(1, "2019-08-23", customer="0")])
-    again = {dt.date(2019, 8, 23): f"{landing.root}/2019-08-23.txt"}
+    again = {dt.date(2019, 8, 23): [f"{landing.root}/2019-08-23.txt"]}
     assert cycle.clean_days(spark, landing.root, store, again, "again") == {dt.date(2019, 8, 23): (1, 0)}
     cycle.drop_days(spark, store.history, again)
     assert not (Path(store.history) / "src_date=2019-08-23").exists()
@@ -90,7 +91,7 @@ def test_only_empty_days(spark, landing, tmp_path):
 def test_a_repeated_run_changes_nothing(spark, landing, tmp_path):
     fill(landing, ["2019-08-23", "2019-08-24"])
     store = Store(str(tmp_path / "store"))
-    paths = {dt.date(2019, 8, d): f"{landing.root}/2019-08-{d}.txt" for d in (23, 24)}
+    paths = {dt.date(2019, 8, d): [f"{landing.root}/2019-08-{d}.txt"] for d in (23, 24)}
     first = cycle.clean_days(spark, landing.root, store, paths, "died_before_the_ledger")
     assert watermark(spark, store) == START
     done = clean_cycle(spark, landing.root, store, START)
@@ -98,13 +99,35 @@ def test_a_repeated_run_changes_nothing(spark, landing, tmp_path):
     assert read_history(spark, store.history).count() == done.n_clean
 
 
-def test_long_catch_up_counts_by_grouping(spark, landing, tmp_path, monkeypatch):
+def test_long_catch_up_is_several_writes(spark, landing, tmp_path, monkeypatch):
     days = days_from("2019-08-23", 4)
     fill(landing, days)
-    observed = clean_cycle(spark, landing.root, Store(str(tmp_path / "a")), START, take_n=4)
-    monkeypatch.setattr(cycle, "OBSERVED_DAYS", 2)
-    grouped = clean_cycle(spark, landing.root, Store(str(tmp_path / "b")), START, take_n=4)
-    assert grouped.counts == observed.counts
+    one = clean_cycle(spark, landing.root, Store(str(tmp_path / "a")), START, take_n=4)
+    monkeypatch.setattr(cycle, "WRITE_DAYS", 3)
+    several = clean_cycle(spark, landing.root, Store(str(tmp_path / "b")), START, take_n=4)
+    assert several.counts == one.counts
+    assert read_history(spark, str(tmp_path / "b/history")).count() == one.n_clean
+
+
+def test_every_layout_of_a_day_is_read(spark, tmp_path):
+    root = tmp_path / "landing"
+    lines = lambda day, n: "\n".join([HEADER, *(row(i + 1, day) for i in range(n))]) + "\n"
+    forms = {"2019-08-23.txt": 1, "2019-08-24/part-0.csv": 2, "src_date=2019-08-25/part-0.csv": 4, "2019-08-26.txt/part-0.csv": 8}
+    forms |= {"2019-08-27.txt": 16, "2019-08-27/part-0.csv": 32, "src_date=2019-08-27/part-0.csv": 64}
+    for name, n in forms.items():
+        file = root / name
+        file.parent.mkdir(parents=True, exist_ok=True)
+        file.write_text(lines(name.removeprefix("src_date=")[:10], n))
+    done = clean_cycle(spark, str(root), Store(str(tmp_path / "store")), START, take_n=9)
+    assert [kept for _, (_, kept) in sorted(done.counts.items())] == [1, 2, 4, 8, 112]
+    assert [raw for _, (raw, _) in sorted(done.counts.items())] == [1, 2, 4, 8, 112]
+
+
+def test_wide_ids(spark, landing, tmp_path):
+    landing("2019-08-23", [row(1, "2019-08-23", customer=str(1 << 40))])
+    store = Store(str(tmp_path / "store"))
+    assert clean_cycle(spark, landing.root, store, START, schema=wide(RAW)).n_clean == 1
+    assert read_history(spark, store.history).first()["customer_id"] == 1 << 40
 
 
 def test_train_register_and_promote(spark, landing, tmp_path):

@@ -70,3 +70,10 @@ def test_folds_are_even(spark):
     counts = with_fold(spark.range(9000), "id").groupBy("fold").count().collect()
     assert sorted(r["fold"] for r in counts) == [0, 1, 2]
     assert all(abs(r["count"] - 3000) < 200 for r in counts)
+
+
+def test_hash_split_loses_no_row_without_key(spark):
+    rows = spark.createDataFrame([(None,), (None,), *((i,) for i in range(50))], "id INT")
+    train, test = hash_split(rows, "id")
+    assert train.count() + test.count() == 52
+    assert train.where("id IS NULL").count() == 0
