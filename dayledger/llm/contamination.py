@@ -281,27 +281,28 @@ def find_contamination(docs: DataFrame, items: DataFrame, text: str = "text", ou
 
 
 def _cut_udf(index: Broadcast, max_words: int):
-    """The text without its hit spans longer than max_words, until none is left."""
+    """The share of hit words, and the text without its hit spans longer than max_words, until none is left."""
 
-    @F.arrow_udf("string")
+    @F.arrow_udf("struct<share:double,text:string>")
     def cut(texts: pa.Array) -> pa.Array:
-        out = []
-        for _, part in W.slices(texts):
+        out, shares = [], np.zeros(len(texts))
+        for at, part in W.slices(texts):
             own = part.to_pylist()
-            for d in find(index.value, part)[1]:
+            words, hits = find(index.value, part)
+            for d, hit in hits.items():
+                shares[at + d] = sum(b - a for a, b in hit.spans()) / words.counts[d]
                 while True:
-                    now = pa.array([own[d]], pa.large_string())
-                    words, found = find(index.value, now)
+                    words_now, found = find(index.value, pa.array([own[d]], pa.large_string()))
                     long = [(a, b) for a, b in found[0].spans() if b - a > max_words] if found else []
                     if not long:
                         break
-                    raw, at, kept = own[d].encode(), 0, []
+                    raw, start, kept = own[d].encode(), 0, []
                     for a, b in long:
-                        kept.append(raw[at : words.begin[a]])
-                        at = words.end[b - 1]
-                    own[d] = b" ".join([*kept, raw[at:]]).decode()
+                        kept.append(raw[start : words_now.begin[a]])
+                        start = words_now.end[b - 1]
+                    own[d] = b" ".join([*kept, raw[start:]]).decode()
             out += own
-        return pa.array(out, pa.string())
+        return pa.StructArray.from_arrays([pa.array(shares), pa.array(out, pa.string())], names=["share", "text"])
 
     return cut
 
@@ -315,10 +316,15 @@ def decontaminate(
     than max_share is hit goes altogether. The removal is repeated, since words that a removal
     brings together can form a window again.
     """
-    spark = docs.sparkSession
-    hits = F.col("__hits")
-    left = find_contamination(docs, items, text, "__hits", window, block_words)
-    left = left.where(hits["n_hit"] <= max_share * hits["n_words"]).drop("__hits")
-    for index in build_indexes(items, text=text, window=window, block_words=block_words):
-        left = left.withColumn(text, _cut_udf(spark.sparkContext.broadcast(index), max_words)(F.col(text)))
-    return left
+    share = docs.sparkSession.sparkContext.broadcast
+    indexes = [share(index) for index in build_indexes(items, text=text, window=window, block_words=block_words)]
+    if len(indexes) > 1:  # the share of all blocks' hits together is needed before any is cut
+        docs = find_contamination(docs, items, text, "__hits", window, block_words)
+        docs = docs.where(F.col("__hits.n_hit") <= max_share * F.col("__hits.n_words")).drop("__hits")
+    columns = docs.columns
+    for index in indexes:
+        docs = docs.withColumn("__cut", _cut_udf(index, max_words)(F.col(text)))
+        if len(indexes) == 1:
+            docs = docs.where(F.col("__cut.share") <= max_share)
+        docs = docs.withColumn(text, F.col("__cut.text")).select(*columns)
+    return docs

@@ -17,6 +17,7 @@ kept as it is; repeated rows are scored each; an empty table gives an empty tabl
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 from dataclasses import dataclass
 
@@ -211,20 +212,24 @@ def fit_rules(docs: DataFrame, text: str = "text", rules: tuple[Rule, ...] = RUL
     return fit_votes(unpack(codes, len(rules)), np.array([r["count"] for r in seen], float), rules)
 
 
+def posterior(counts: Column, model: Votes, rules: tuple[Rule, ...] = RULES) -> Column:
+    """P(good | votes), as Votes.classes gives it, in Spark's own functions."""
+    logs, shares = np.log(model.rates), np.log(model.shares)
+    votes = [rule.vote(lambda name: counts[name]) for rule in rules]
+    like = []
+    for c in range(len(shares)):
+        terms = [F.when(v == 0, float(x[0])).when(v == 1, float(x[1])).otherwise(float(x[2])) for v, x in zip(votes, logs[:, c], strict=True)]
+        like.append(functools.reduce(lambda a, b: a + b, terms, F.lit(float(shares[c]))))
+    others = functools.reduce(lambda a, b: a + b, [F.exp(x - like[0]) for x in like[1:]])
+    return 1 / (1 + others)
+
+
 def score_rules(
     docs: DataFrame, model: Votes, text: str = "text", least: float = 0.5, rules: tuple[Rule, ...] = RULES, out: str = "quality"
 ) -> DataFrame:
     """Append a struct column `out`: the counts, base_failed, posterior and kept."""
-    codes = np.arange(3 ** len(rules))
-    table = model.classes(unpack(codes, len(rules)))[:, 0]
-
-    @F.arrow_udf("double")
-    def look_up(code: pa.Array) -> pa.Array:
-        return pa.array(table[code.to_numpy(zero_copy_only=False)])
-
     c = F.col("__counts")
-    found = docs.withColumn("__counts", counts_udf()(F.col(text)))
-    found = found.withColumn("__posterior", look_up(pattern(c, rules)))
+    found = docs.withColumn("__counts", counts_udf()(F.col(text))).withColumn("__posterior", posterior(c, model, rules))
     verdict = F.struct(
         *(c[name].alias(name) for name in COUNTS),
         base_failed(c).alias("base_failed"),

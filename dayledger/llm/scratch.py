@@ -2,13 +2,21 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 from dayledger.session import scratch_path
 
 _CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
+_BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+def small_batches(spark: SparkSession, rows: int = 2_000) -> None:
+    """Give Python workers at most `rows` texts at a time, as several of them share an executor's memory."""
+    spark.conf.set(_BATCH, str(min(rows, int(spark.conf.get(_BATCH, str(rows))))))
+
+
 class Scratch:
     """Writes a table below the checkpoint folder and reads it back, which cuts its lineage.
 
