@@ -13,26 +13,31 @@ from pyspark.sql import DataFrame, SparkSession
 
 from dayledger.llm import contamination, neardup, packing, quality, secrets
 from dayledger.llm.queries import TOKENIZER
-from dayledger.llm.scratch import Scratch
+from dayledger.llm.scratch import Scratch, small_batches
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    small_batches(spark)
     return quality.filter_quality(docs)
 
 
 def minhash_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    small_batches(spark)
     return neardup.drop_near_duplicates(docs)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    small_batches(spark)
     return contamination.decontaminate(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
 def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    small_batches(spark)
     return secrets.redact_secrets(docs)
 
 
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    small_batches(spark)
     return packing.pack(docs, TOKENIZER)
 
 
