@@ -17,7 +17,6 @@ kept as it is; repeated rows are scored each; an empty table gives an empty tabl
 
 from __future__ import annotations
 
-import functools
 from collections.abc import Callable
 from dataclasses import dataclass
 
@@ -35,7 +34,7 @@ MIN_WORDS = 20
 MAX_REPEAT = 0.3
 
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "n_letters", "n_upper", "n_loud", "n_echoes")
-COUNTS_TYPE = "struct<" + ",".join(f"{c}:bigint" for c in COUNTS) + ">"
+COUNTS_TYPE = "struct<" + ",".join(f"{c}:bigint" for c in (*COUNTS, "pattern")) + ",posterior:double>"
 
 _CONTINUATION = (np.arange(256) & 0xC0) == 0x80
 _UPPER = np.zeros(256, bool)
@@ -83,61 +82,70 @@ def text_counts(texts: pa.Array) -> list[np.ndarray]:
     ]
 
 
-def counts_udf() -> Callable[[Column], Column]:
-    """The COUNTS of a text column as one struct."""
-
-    @F.arrow_udf(COUNTS_TYPE)
-    def counts(texts: pa.Array) -> pa.Array:
-        parts = [np.stack(text_counts(part)) for _, part in W.slices(texts)]
-        found = np.concatenate(parts, axis=1) if parts else np.zeros((len(COUNTS), 0))
-        return pa.StructArray.from_arrays([pa.array(x.astype(np.int64)) for x in found], names=list(COUNTS))
-
-    return counts
-
-
 @dataclass(frozen=True)
 class Rule:
-    """Votes bad outside `fair`; votes good inside `good`, if it can speak for a text at all; else abstains."""
+    """Looks at one count, or at its ratio to another.
+
+    Votes bad outside `fair`; votes good inside `good`, if it can speak for a text at all; else
+    abstains, as it does where the ratio is over nothing.
+    """
 
     name: str
     family: str
-    value: Callable[[Callable[[str], Column]], Column]
+    over: str
+    under: str | None
     fair: tuple[float, float]
     good: tuple[float, float] | None = None
 
-    def vote(self, count: Callable[[str], Column]) -> Column:
-        """0 bad, 1 abstain, 2 good; a ratio over nothing abstains."""
-        x = self.value(count)
-        found = F.when(x.isNull(), 1).when((x < self.fair[0]) | (x > self.fair[1]), 0)
+    def votes(self, counts: dict[str, np.ndarray]) -> np.ndarray:
+        """0 bad, 1 abstain, 2 good."""
+        x = counts[self.over].astype(float)
+        known = np.ones(len(x), bool)
+        if self.under:
+            known = counts[self.under] > 0
+            x = x / np.maximum(counts[self.under], 1)
+        out = np.ones(len(x), np.int64)
         if self.good:
-            found = found.when((x >= self.good[0]) & (x <= self.good[1]), 2)
-        return found.otherwise(1)
-
-
-def _ratio(a: str, b: str) -> Callable[[Callable[[str], Column]], Column]:
-    return lambda count: F.when(count(b) > 0, count(a) / count(b))
+            out[known & (x >= self.good[0]) & (x <= self.good[1])] = 2
+        out[known & ((x < self.fair[0]) | (x > self.fair[1]))] = 0
+        return out
 
 
 MOST = float(1 << 60)
 RULES = (
-    Rule("length", "size", lambda count: count("n_words").cast("double"), (MIN_WORDS, MOST), (50, MOST)),
-    Rule("word_length", "size", _ratio("word_chars", "n_words"), (2, 12), (3, 9)),
-    Rule("letters", "form", _ratio("n_letters", "word_chars"), (0.86, 1)),
-    Rule("symbols", "form", _ratio("n_symbols", "n_words"), (0, 0.25)),
-    Rule("repeats", "repetition", _ratio("n_repeat_words", "n_words"), (0, MAX_REPEAT)),
-    Rule("echoes", "repetition", _ratio("n_echoes", "n_words"), (0, 0.15)),
-    Rule("dup_lines", "repetition", _ratio("n_dup_lines", "n_lines"), (0, 0.3)),
-    Rule("upper_case", "shouting", _ratio("n_upper", "n_letters"), (0, 0.4)),
-    Rule("loud", "shouting", _ratio("n_loud", "n_words"), (0, 0.3)),
+    Rule("length", "size", "n_words", None, (MIN_WORDS, MOST), (50, MOST)),
+    Rule("word_length", "size", "word_chars", "n_words", (2, 12), (3, 9)),
+    Rule("letters", "form", "n_letters", "word_chars", (0.9, 1)),
+    Rule("symbols", "form", "n_symbols", "n_words", (0, 0.25)),
+    Rule("repeats", "repetition", "n_repeat_words", "n_words", (0, MAX_REPEAT)),
+    Rule("echoes", "repetition", "n_echoes", "n_words", (0, 0.15)),
+    Rule("dup_lines", "repetition", "n_dup_lines", "n_lines", (0, 0.3)),
+    Rule("upper_case", "shouting", "n_upper", "n_letters", (0, 0.4)),
+    Rule("loud", "shouting", "n_loud", "n_words", (0, 0.3)),
 )
 
 
-def pattern(counts: Column, rules: tuple[Rule, ...] = RULES) -> Column:
+def pattern(counts: dict[str, np.ndarray], rules: tuple[Rule, ...] = RULES) -> np.ndarray:
     """All votes as one number in base 3."""
-    code = F.lit(0)
+    code = np.zeros(len(counts["n_words"]), np.int64)
     for rule in rules:
-        code = code * 3 + rule.vote(lambda name: counts[name])
-    return code.cast("int")
+        code = code * 3 + rule.votes(counts)
+    return code
+
+
+def counts_udf(rules: tuple[Rule, ...], chances: np.ndarray | None = None) -> Callable[[Column], Column]:
+    """The COUNTS of a text column with the pattern of votes and, from a table by pattern, P(good)."""
+
+    @F.arrow_udf(COUNTS_TYPE)
+    def counts(texts: pa.Array) -> pa.Array:
+        parts = [np.stack(text_counts(part)) for _, part in W.slices(texts)]
+        found = np.concatenate(parts, axis=1) if parts else np.zeros((len(COUNTS), 0), np.int64)
+        code = pattern(dict(zip(COUNTS, found, strict=True)), rules)
+        good = chances[code] if chances is not None else np.zeros(len(code))
+        arrays = [*(pa.array(x.astype(np.int64)) for x in found), pa.array(code), pa.array(good)]
+        return pa.StructArray.from_arrays(arrays, names=[*COUNTS, "pattern", "posterior"])
+
+    return counts
 
 
 def base_failed(counts: Column) -> Column:
@@ -206,37 +214,25 @@ def fit_votes(
 
 def fit_rules(docs: DataFrame, text: str = "text", rules: tuple[Rule, ...] = RULES) -> Votes:
     """Fit the rules' reliabilities on all documents."""
-    counted = docs.select(counts_udf()(F.col(text)).alias("c"))
-    seen = counted.groupBy(pattern(F.col("c"), rules).alias("p")).count().collect()
+    counted = docs.select(counts_udf(rules)(F.col(text)).alias("c"))
+    seen = counted.groupBy(F.col("c.pattern").alias("p")).count().collect()  # at most 3 ** len(rules) rows
     codes = np.array([r["p"] for r in seen], np.int64)
     return fit_votes(unpack(codes, len(rules)), np.array([r["count"] for r in seen], float), rules)
 
 
-def posterior(counts: Column, model: Votes, rules: tuple[Rule, ...] = RULES) -> Column:
-    """P(good | votes), as Votes.classes gives it, in Spark's own functions."""
-    logs, shares = np.log(model.rates), np.log(model.shares)
-    votes = [rule.vote(lambda name: counts[name]) for rule in rules]
-    like = []
-    for c in range(len(shares)):
-        terms = [F.when(v == 0, float(x[0])).when(v == 1, float(x[1])).otherwise(float(x[2])) for v, x in zip(votes, logs[:, c], strict=True)]
-        like.append(functools.reduce(lambda a, b: a + b, terms, F.lit(float(shares[c]))))
-    others = functools.reduce(lambda a, b: a + b, [F.exp(x - like[0]) for x in like[1:]])
-    return 1 / (1 + others)
-
-
 def score_rules(
     docs: DataFrame, model: Votes, text: str = "text", least: float = 0.5, rules: tuple[Rule, ...] = RULES, out: str = "quality"
 ) -> DataFrame:
     """Append a struct column `out`: the counts, base_failed, posterior and kept."""
+    chances = model.classes(unpack(np.arange(3 ** len(rules)), len(rules)))[:, 0]
     c = F.col("__counts")
-    found = docs.withColumn("__counts", counts_udf()(F.col(text))).withColumn("__posterior", posterior(c, model, rules))
     verdict = F.struct(
         *(c[name].alias(name) for name in COUNTS),
         base_failed(c).alias("base_failed"),
-        F.col("__posterior").alias("posterior"),
-        (~base_failed(c) & (F.col("__posterior") >= least)).alias("kept"),
+        c["posterior"].alias("posterior"),
+        (~base_failed(c) & (c["posterior"] >= least)).alias("kept"),
     )
-    return found.withColumn(out, verdict).drop("__counts", "__posterior")
+    return docs.withColumn("__counts", counts_udf(rules, chances)(F.col(text))).withColumn(out, verdict).drop("__counts")
 
 
 def filter_quality(docs: DataFrame, text: str = "text", least: float = 0.5) -> DataFrame:
