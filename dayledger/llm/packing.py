@@ -22,6 +22,7 @@ import json
 import re
 import zlib
 from array import array
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -31,6 +32,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
+from dayledger.llm import words as W
 from dayledger.session import scratch_path
 
 SEPARATOR = 0
@@ -70,7 +72,7 @@ class ChunkEncoder:
     allows it, chunks are merged by ranks, which gives the file's own ids in a third of the time.
     """
 
-    def __init__(self, path: str, limit: int = 400_000):
+    def __init__(self, path: str, limit: int = 250_000):
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
         self.limit = limit
@@ -82,6 +84,10 @@ class ChunkEncoder:
             ranks = merge_ranks(json.load(file))
         self.ranked = ranks and tiktoken.Encoding("file", pat_str=_PATTERN, mergeable_ranks=ranks, special_tokens={})
 
+    def forget(self) -> None:
+        self.chunks.clear()
+        self.spaced.clear()
+
     def _packed(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
 
@@ -140,26 +146,28 @@ def pieces(docs: DataFrame, tokenizer: str, doc: str = "doc_id", text: str = "te
     """(doc_id, piece, start, length, ids_crc32): documents cut only where longer than capacity, the first piece shorter."""
     item = "struct<piece:int,start:bigint,length:bigint,ids_crc32:bigint>"
 
+    types = (pa.int32(), pa.int64(), pa.int64(), pa.int64())
+
     @F.arrow_udf(f"array<{item}>")
-    def cut(texts: pa.Array) -> pa.Array:
-        columns: list[list[int]] = [[], [], [], []]
-        ends = [0]
-        encode = encoder(tokenizer).encode
-        rows = texts.to_pylist()
-        for at in range(0, len(rows), 200):
-            for ids in encode(rows[at : at + 200]):
-                ids += SEPARATOR.to_bytes(4, "little")
-                n = len(ids) // 4
-                edges = [0, *range((n - 1) % capacity + 1, n + 1, capacity)]
-                for k, (a, b) in enumerate(zip(edges[:-1], edges[1:], strict=True)):
-                    for column, value in zip(columns, (k, a, b - a, zlib.crc32(ids[4 * a : 4 * b])), strict=True):
-                        column.append(value)
-                ends.append(len(columns[0]))
-        types = (pa.int32(), pa.int64(), pa.int64(), pa.int64())
-        values = pa.StructArray.from_arrays(
-            [pa.array(c, t) for c, t in zip(columns, types, strict=True)], names=["piece", "start", "length", "ids_crc32"]
-        )
-        return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), values)
+    def cut(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        own = encoder(tokenizer)
+        try:
+            for texts in batches:
+                columns: list[list[int]] = [[], [], [], []]
+                ends = [0]
+                for _, part in W.slices(texts):
+                    for ids in own.encode(part.to_pylist()):
+                        ids += SEPARATOR.to_bytes(4, "little")
+                        n = len(ids) // 4
+                        edges = [0, *range((n - 1) % capacity + 1, n + 1, capacity)]
+                        for k, (a, b) in enumerate(zip(edges[:-1], edges[1:], strict=True)):
+                            for column, value in zip(columns, (k, a, b - a, zlib.crc32(ids[4 * a : 4 * b])), strict=True):
+                                column.append(value)
+                        ends.append(len(columns[0]))
+                values = [pa.array(c, t) for c, t in zip(columns, types, strict=True)]
+                yield pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.StructArray.from_arrays(values, names=["piece", "start", "length", "ids_crc32"]))
+        finally:  # the worker process lives on for other tasks
+            own.forget()
 
     cuts = docs.select(F.col(doc).alias("doc_id"), F.explode(cut(F.col(text))).alias("p"))
     return cuts.select("doc_id", "p.*")
