@@ -6,7 +6,7 @@ import datetime as dt
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from dayledger.schema import DAY, INGEST_TS, RUN_ID
+from dayledger.schema import DAY, INGEST_TS, LABEL, RUN_ID
 
 
 def is_clean(drop_nan: bool = False) -> Column:
@@ -43,12 +43,13 @@ def clean_counts(rows: DataFrame, by: str | None = DAY, drop_nan: bool = False)
 
 
 def count_columns(days: list[dt.date], drop_nan: bool = False) -> list[Column]:
-    """Aggregates to observe on a scan of a few days: raw and clean rows of each."""
+    """Aggregates to observe on a scan of a few days: raw, clean and clean labelled rows of each."""
     columns = []
     for day in days:
         here = F.col(DAY) == F.lit(day)
         columns += [
             F.count_if(here).alias(f"raw_{day}"),
             F.count_if(here & is_clean(drop_nan)).alias(f"clean_{day}"),
+            F.count_if(here & is_clean(drop_nan) & F.col(LABEL).isNotNull()).alias(f"labelled_{day}"),
         ]
     return columns

@@ -9,7 +9,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import NumericType
 
-from dayledger.schema import LABEL
+from dayledger.schema import BATCH, LABEL
 
 RAW_VECTOR = "features_raw"
 VECTOR = "features"
@@ -19,9 +19,9 @@ def feature_columns(rows: DataFrame, label: str = LABEL, exclude: Sequence[str]
     """Every numeric column but the label and the excluded ones, in schema order.
 
     Ids are features unless excluded, and so is `tx_fraud_scenario`, which gives the
-    label away.
+    label away. The batch number of a streamed history is none.
     """
-    skipped = {label, *exclude}
+    skipped = {label, BATCH, *exclude}
     return [
         f.name
         for f in rows.schema.fields

@@ -11,9 +11,19 @@ def model_versions(runs: DataFrame) -> DataFrame:
     return runs.withColumn("version", F.row_number().over(order))
 
 
+def last_logged(metrics: DataFrame) -> DataFrame:
+    """(run_id, key, value): the value logged last, as a run may log a key again.
+
+    Values of one instant, or without a time, are ordered by size, so the choice is the same
+    in every run.
+    """
+    order = F.struct(F.coalesce("log_ts", F.timestamp_seconds(F.lit(0))), "value")
+    return metrics.groupBy("run_id", "key").agg(F.max_by("value", order).alias("value"))
+
+
 def with_metric(versions: DataFrame, metrics: DataFrame, key: str = "auc") -> DataFrame:
-    """Each version with the metric its run logged, null if it logged none."""
-    chosen = metrics.where(F.col("key") == key).select("run_id", F.col("value").alias("metric"))
+    """Each version with the metric its run logged last, null if it logged none."""
+    chosen = last_logged(metrics.where(F.col("key") == key)).select("run_id", F.col("value").alias("metric"))
     return versions.join(chosen, "run_id", "left")
 
 
@@ -53,6 +63,6 @@ def current(history: DataFrame, alias: str = "champion") -> DataFrame:
 
 
 def champion_metric(champions: DataFrame, metrics: DataFrame, key: str = "auc") -> DataFrame:
-    """The metric each current champion logged in its own run."""
-    logged = metrics.where(F.col("key") == key)
+    """The metric each current champion logged last in its own run."""
+    logged = last_logged(metrics.where(F.col("key") == key))
     return champions.join(logged, "run_id").select("model_name", "version", "run_id", "key", "value")

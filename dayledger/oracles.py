@@ -30,7 +30,8 @@ IS_CLEAN = "tx_amount > 0 AND customer_id > 0 AND terminal_id > 0 AND tx_datetim
 CLEAN = f"{TX}, c AS (SELECT * FROM tx WHERE {IS_CLEAN})"
 DAILY = f"""{TX}, days AS (
   SELECT src_date, count(*) AS n_raw,
-    CAST(sum(CASE WHEN {IS_CLEAN} THEN 1 ELSE 0 END) AS BIGINT) AS n_clean
+    CAST(sum(CASE WHEN {IS_CLEAN} THEN 1 ELSE 0 END) AS BIGINT) AS n_clean,
+    count(*) FILTER (WHERE {IS_CLEAN} AND tx_fraud IS NOT NULL) AS n_labelled
   FROM tx GROUP BY src_date)"""
 WEEKDAYS = "days AS (SELECT DISTINCT CAST(ts AS DATE) AS src_date FROM events WHERE isodow(ts) <= 5)"
 ALL_RAW = f"{RAW_COLUMNS}, src_date"
@@ -218,14 +219,15 @@ SELECT DATE '2023-12-31' AS watermark_before, max(src_date) AS watermark_after,
   CAST(sum(n_raw) AS BIGINT) AS n_raw, CAST(sum(n_clean) AS BIGINT) AS n_clean FROM days""",
         "ledger_rows": f"""WITH {DAILY}
 SELECT src_date, strftime(src_date, '%Y-%m-%d') || '.txt' AS source_key,
-  'clean_20240131_000000' AS run_id, n_raw, n_clean FROM days""",
+  'clean_20240131_000000' AS run_id, n_raw, n_clean, n_labelled FROM days""",
         "clean_transactions": all_clean,
         "lineage_columns": f"""WITH {CLEAN}
 SELECT tranaction_id, strftime(src_date, '%Y-%m-%d') || '.txt' AS _source_key,
   'clean_20240131_000000' AS _ingest_run_id FROM c""",
-        "clean_counts_per_day": f"WITH {DAILY} SELECT * FROM days",
+        "clean_counts_per_day": f"WITH {DAILY} SELECT src_date, n_raw, n_clean FROM days",
         "clean_summary": f"""WITH {DAILY}
 SELECT CAST(sum(n_raw) AS BIGINT) AS n_raw, CAST(sum(n_clean) AS BIGINT) AS n_clean FROM days""",
+        "clean_mixed_landing": f"WITH {DAILY} SELECT * FROM days",
         "stream_ingest": all_clean,
         "write_day_partitions": all_clean,
         "write_days_four_files": all_clean,
@@ -240,11 +242,14 @@ SELECT name, count(*) AS n FROM n
 WHERE length(name) = 10 AND substr(name, 5, 1) = '-' AND substr(name, 8, 1) = '-' GROUP BY name""",
         "training_window": f"""WITH {CLEAN},
 latest AS (SELECT DISTINCT src_date FROM tx ORDER BY src_date DESC LIMIT 5)
+SELECT {ALL_RAW} FROM c WHERE tx_fraud IS NOT NULL AND src_date IN (SELECT src_date FROM latest)""",
+        "stream_training_window": f"""WITH {CLEAN},
+latest AS (SELECT DISTINCT src_date FROM c ORDER BY src_date DESC LIMIT 5)
 SELECT {ALL_RAW} FROM c WHERE tx_fraud IS NOT NULL AND src_date IN (SELECT src_date FROM latest)""",
         "labelled_rows": f"{all_clean} WHERE tx_fraud IS NOT NULL",
         "labelled_rows_count": f"WITH {CLEAN} SELECT count(*) AS n_rows FROM c WHERE tx_fraud IS NOT NULL",
         "training_rows_per_cycle": f"""WITH {DAILY}
-SELECT src_date, CAST(sum(n_clean) OVER (ORDER BY src_date ROWS BETWEEN 4 PRECEDING AND CURRENT ROW) AS BIGINT)
+SELECT src_date, CAST(sum(n_labelled) OVER (ORDER BY src_date ROWS BETWEEN 4 PRECEDING AND CURRENT ROW) AS BIGINT)
   AS train_rows FROM days""",
         "date_parse_format": f"""SELECT o_orderkey, CAST({UNPADDED} AS DATE) AS parsed,
   TRY_CAST({by_priority(PADDED, UNPADDED, "'2019-02-30'", "'none'", UNPADDED)} AS DATE) AS tolerant,
@@ -275,6 +280,11 @@ FROM pages""",
         "random_split_rows": all_clean,
         "hash_split": f"""WITH {CLEAN}
 SELECT tranaction_id, CASE WHEN {h31('tranaction_id')} % 10 < 8 THEN 'train' ELSE 'test' END AS part FROM c""",
+        "hash_split_null_keys": f"""WITH {CLEAN}, k AS (
+  SELECT tranaction_id, CASE WHEN tranaction_id % 5 <> 0 THEN tranaction_id END AS key FROM c)
+SELECT key, tranaction_id, CASE WHEN key IS NOT NULL AND {h31('key')} % 10 < 8 THEN 'train' ELSE 'test' END AS part
+FROM k""",
+        "random_split_shares": f"WITH {CLEAN} SELECT count(*) AS n_rows, CAST(0 AS BIGINT) AS n_in_both, true AS share_fits FROM c",
         "kfold_assign": f"""WITH {CLEAN}
 SELECT tranaction_id, CAST({h31('tranaction_id')} % 3 AS INT) AS fold FROM c""",
         "exact_sample": f"WITH {SAMPLED} SELECT {ALL_RAW} FROM train",
@@ -308,4 +318,14 @@ SELECT model_name, version, run_id, key, value FROM newest JOIN logged USING (ru
 SELECT tranaction_id, tx_amount, tx_fraud FROM c WHERE tx_fraud = 0
 UNION ALL SELECT tranaction_id, tx_amount, tx_fraud FROM c WHERE tx_fraud = 1""",
         "synth_transactions": synth(),
+        "rf_grid_search": """SELECT CAST(grid_id AS INT) AS grid_id, CAST(num_trees AS INT) AS num_trees,
+  CAST(max_depth AS INT) AS max_depth, CAST(1 AS DOUBLE) AS mean_auc
+FROM (VALUES (0, 20, 5), (1, 20, 10), (2, 50, 5), (3, 50, 10)) g(grid_id, num_trees, max_depth)""",
+        "rf_predict": f"""WITH {CLEAN}
+SELECT tranaction_id, CAST(tx_fraud AS DOUBLE) AS label, CAST(tx_fraud AS DOUBLE) AS prediction FROM c
+WHERE tx_fraud IS NOT NULL AND {h31('tranaction_id')} % 10 >= 8""",
+        "rf_run_log": """SELECT key, value FROM (VALUES ('label_col', 'tx_fraud'), ('features_count', '7'),
+  ('numTrees_grid', '20,50'), ('maxDepth_grid', '5,10'), ('best_maxDepth', '5'), ('best_numTrees', '20'),
+  ('auc', '1.0'), ('accuracy', '1.0'), ('f1', '1.0')) l(key, value)""",
+        "rf_promotion": "SELECT 'fraud_model' AS model_name, CAST(1 AS INT) AS version, 'champion' AS alias",
     }

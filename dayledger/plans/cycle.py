@@ -16,7 +16,7 @@ from dayledger.operators.cleaning import clean, count_columns, with_lineage
 from dayledger.operators.features import feature_columns
 from dayledger.operators.splits import hash_split, random_split
 from dayledger.plans import model as modelling
-from dayledger.schema import BATCH, DAY, LABEL, LEDGER, MODEL_VERSIONS, RAW, RUN_METRICS, RUN_PARAMS
+from dayledger.schema import DAY, LABEL, LEDGER, MODEL_VERSIONS, RAW, RUN_METRICS, RUN_PARAMS
 from dayledger.session import sibling_session
 from dayledger.sinks import append_table, drop_days, metrics_long, read_table, write_days
 from dayledger.sinks.days import AS_READ
@@ -36,7 +36,7 @@ START = dt.date(2019, 8, 1)
 TAKE_N = 3
 MAX_SCAN_DAYS = 30
 
-# Days in one write. Each counts its days by aggregates observed on the write, two for each day
+# Days in one write. Each counts its days by aggregates observed on the write, three for each day
 # and row; a longer catch-up is more writes, and every file is read once.
 WRITE_DAYS = 4
 
@@ -64,7 +64,7 @@ class Store:
         return read_table(spark, self.path("run_metrics"), RUN_METRICS)
 
     def versions(self, spark: SparkSession) -> DataFrame:
-        return read_table(spark, self.path("model_versions"), MODEL_VERSIONS)
+        return registry.model_versions(read_table(spark, self.path("model_versions"), MODEL_VERSIONS))
 
     def model(self, run_id: str) -> str:
         return self.path(f"models/{run_id}")
@@ -137,14 +137,14 @@ def clean_cycle(
         return Cleaned(run_id, after)
     paths = {day: entry["paths"] for day, entry in found.items()}
     counts = clean_days(spark, landing, store, paths, run_id, drop_nan, schema)
-    drop_days(spark, store.history, [d for d, (_, kept) in counts.items() if not kept])
+    drop_days(spark, store.history, [d for d, (_, kept, _) in counts.items() if not kept])
     # Timezone-aware, so the session zone does not shift the stored instant.
     now = dt.datetime.now(dt.timezone.utc)
     entries = [
-        (d, found[d]["source_key"], run_id, raw, kept, now) for d, (raw, kept) in counts.items()
+        (d, found[d]["source_key"], run_id, *counted, now) for d, counted in counts.items()
     ]
     append_table(spark.createDataFrame(entries, LEDGER).coalesce(1), store.path("ledger"))
-    return Cleaned(run_id, max(found), counts)
+    return Cleaned(run_id, max(found), {d: (raw, kept) for d, (raw, kept, _) in counts.items()})
 
 
 def clean_days(
@@ -155,8 +155,9 @@ def clean_days(
     run_id: str,
     drop_nan: bool = False,
     schema: StructType = RAW,
-) -> dict[dt.date, tuple[int, int]]:
-    """Write the days found at `paths`, a few in each scan; returns the raw and clean rows of each.
+) -> dict[dt.date, tuple[int, int, int]]:
+    """Write the days found at `paths`, a few in each scan; returns the raw, clean and clean labelled
+    rows of each.
 
     The write has no shuffle, so the observed counts come from its final tasks, whose
     updates Spark counts once even when lost executors make it run some of them again.
@@ -173,7 +174,7 @@ def clean_days(
         source = rows.observe(seen, *count_columns(group, drop_nan))
         write_days(with_lineage(clean(source, drop_nan), run_id), store.history, AS_READ)
         counted = seen.get
-        counts |= {d: (counted.get(f"raw_{d}") or 0, counted.get(f"clean_{d}") or 0) for d in group}
+        counts |= {d: tuple(counted.get(f"{kind}_{d}") or 0 for kind in ("raw", "clean", "labelled")) for d in group}
     return counts
 
 
@@ -199,8 +200,10 @@ def train_cycle(
         raise ValueError(f"metric must be one of {modelling.METRICS}")
     # Two runs may start in one second; the suffix keeps their metrics and models apart.
     run_id = run_id or f"{stamped('fraud_rf')}_{uuid.uuid4().hex[:8]}"
-    rows = training_set(spark, store.history, last_n, store.ledger(spark))
-    columns = feature_columns(rows, LABEL, (BATCH, *exclude))
+    ledger = store.ledger(spark)
+    # A history that only a stream has written has no ledger; its folders name its days.
+    rows = training_set(spark, store.history, last_n, None if ledger.isEmpty() else ledger)
+    columns = feature_columns(rows, LABEL, exclude)
     if not columns:
         raise ValueError("no numeric feature column")
     kept = dict.fromkeys([LABEL, *columns, *([split_key] if split == "hash" else [])])
@@ -238,24 +241,25 @@ def log_run(
     texts = [(run_id, key, str(value)) for key, value in params.items()]
     append_table(spark.createDataFrame(texts, RUN_PARAMS).coalesce(1), store.path("run_params"))
     wide = spark.createDataFrame([(run_id, *metrics.values())], ["run_id", *metrics])
-    append_table(metrics_long(wide, list(metrics)).coalesce(1), store.path("run_metrics"))
+    long = metrics_long(wide, list(metrics)).withColumn("log_ts", F.current_timestamp())
+    append_table(long.coalesce(1), store.path("run_metrics"))
 
 
 def register(
     spark: SparkSession, store: Store, model_name: str, run_id: str, metric: str = "auc"
 ) -> tuple[str, int]:
-    """Add the run as the next version of the model; returns its alias and version."""
-    versions = store.versions(spark)
-    last = versions.where(F.col("model_name") == model_name).agg(F.max("version").alias("v")).first()["v"]
-    version = (last or 0) + 1
-    entry = [(model_name, version, run_id, dt.datetime.now(dt.timezone.utc))]
+    """Add the run as the next version of the model; returns its alias and version.
+
+    Only the run and its time are stored, so two runs that register at once get two versions.
+    """
+    now = dt.datetime.now(dt.timezone.utc)
+    entry = [(model_name, run_id, now)]
     append_table(
         spark.createDataFrame(entry, MODEL_VERSIONS).coalesce(1), store.path("model_versions")
     )
-    decided = promotions(spark, store, metric).where(
-        (F.col("model_name") == model_name) & (F.col("version") == version)
-    )
-    return decided.first()["alias"], version
+    own = (F.col("model_name") == model_name) & (F.col("run_id") == run_id) & (F.col("run_ts") == F.lit(now))
+    decided = promotions(spark, store, metric).where(own).first()
+    return decided["alias"], decided["version"]
 
 
 def promotions(spark: SparkSession, store: Store, metric: str = "auc") -> DataFrame:
@@ -284,9 +288,10 @@ def run_cycle(
 
 
 def training_growth(ledger: DataFrame, last_n: int = 5) -> DataFrame:
-    """Training rows each cycle sees while days accumulate, one cycle per day.
+    """Training rows, which are the labelled ones, that each cycle sees while days accumulate.
 
-    Sorts one row per day, not the data.
+    One cycle per day. Sorts one row per day, not the data. An entry from before labelled rows
+    were counted stands with its clean ones.
     """
     window = Window.orderBy(DAY).rowsBetween(1 - last_n, 0)
-    return latest_entries(ledger).select(DAY, F.sum("n_clean").over(window).alias("train_rows"))
+    return latest_entries(ledger).select(DAY, F.sum(F.coalesce("n_labelled", "n_clean")).over(window).alias("train_rows"))

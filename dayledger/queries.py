@@ -42,6 +42,7 @@ from dayledger.sources import (
     source_exists,
     training_set,
 )
+from dayledger.sources.filesystem import glob, rename
 from dayledger.streaming import stream_ingest as start_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -245,14 +246,42 @@ def clean_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return clean_counts(transactions(spark, sf_dir), by=None)
 
 
-@query("stream_ingest")
-def stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
+@once_per_session
+def streamed(spark: SparkSession, sf_dir: str) -> str:
+    """History after a stream over the whole landing area."""
     history = scratch_path(spark, "streamed")
     stream = start_stream(
         spark, landing(spark, sf_dir), history, scratch_path(spark, "cursor"), files_per_trigger=10
     )
     stream.awaitTermination()
-    return raw_columns(read_history(spark, history))
+    return history
+
+
+@query("stream_ingest")
+def stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return raw_columns(read_history(spark, streamed(spark, sf_dir)))
+
+
+@query("stream_training_window")
+def stream_training_window(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return raw_columns(training_set(spark, streamed(spark, sf_dir), LAST_N))
+
+
+@query("clean_mixed_landing")
+def clean_mixed_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ledger counts of a landing area whose days come as four kinds of folder, some as two at once."""
+    root = scratch_path(spark, "mixed")
+    form = F.when(F.day(DAY) % 4 == 3, F.col(KEY) % 2).otherwise(F.day(DAY) % 4)
+    rows = transactions(spark, sf_dir).withColumn("form", form).hint("rebalance", DAY)
+    write_csv(rows, f"{root}/parts", ("form", DAY))
+    # What arrives under a plain name is moved there: `D`, `D.txt`, else `src_date=D`.
+    for path, _ in glob(spark, f"{root}/parts/form=*/{DAY}=*"):
+        name, kind = path.rsplit("/", 1)[-1], path.rsplit("/", 2)[-2]
+        day = name.removeprefix(f"{DAY}=")
+        rename(spark, path, f"{root}/landing/{ {'form=0': day, 'form=2': f'{day}.txt'}.get(kind, name) }")
+    store = cycle.Store(f"{root}/store")
+    cycle.clean_cycle(spark, f"{root}/landing", store, START, SCAN_DAYS, SCAN_DAYS, run_id=RUN)
+    return store.ledger(spark).select(DAY, "n_raw", "n_clean", "n_labelled")
 
 
 # History and the training window
@@ -432,6 +461,26 @@ def hash_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     return clean_tx(spark, sf_dir).select(KEY, part.alias("part"))
 
 
+@query("hash_split_null_keys")
+def hash_split_null_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Both parts of a split whose keys are partly null: no row is lost."""
+    key = F.when(F.col(KEY) % 5 != 0, F.col(KEY))
+    rows = clean_tx(spark, sf_dir).select(key.alias("key"), KEY)
+    train, test = splits.hash_split(rows, "key")
+    return train.withColumn("part", F.lit("train")).unionByName(test.withColumn("part", F.lit("test")))
+
+
+@query("random_split_shares")
+def random_split_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of both parts, ids in both, and whether the share of the first is 80 % within 3 points."""
+    parts = random_split(spark, sf_dir)
+    n_parts = parts.groupBy(KEY).agg(F.count_distinct("part").alias("n_parts"))
+    both = n_parts.where("n_parts > 1").agg(F.count("*").alias("n")).scalar()
+    share = F.avg((F.col("part") == "train").cast("double"))
+    found = parts.agg(F.count("*").alias("n_rows"), share.between(0.77, 0.83).alias("share_fits"))
+    return found.select("n_rows", both.alias("n_in_both"), "share_fits")
+
+
 @query("kfold_assign")
 def kfold_assign(spark: SparkSession, sf_dir: str) -> DataFrame:
     return splits.with_fold(clean_tx(spark, sf_dir), KEY).select(KEY, "fold")
@@ -559,9 +608,12 @@ def run_tables(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
     """The metrics of the daily runs and their versions, as stored tables."""
     runs = daily_runs(spark, sf_dir)
     metrics_path, versions_path = scratch_path(spark, "metrics"), scratch_path(spark, "versions")
-    append_table(metrics_long(runs, list(model.METRICS)), metrics_path)
-    versions = registry.model_versions(runs.select("model_name", "run_id", "run_ts"))
-    append_table(versions, versions_path)
+    # Every metric is logged twice; the later value is the one that counts.
+    logged = metrics_long(runs, list(model.METRICS)).withColumn("log_ts", F.lit(EPOCH).cast("timestamp"))
+    again = F.lit(EPOCH + dt.timedelta(days=1)).cast("timestamp")
+    append_table(logged.withColumn("value", 1 - F.col("value")), metrics_path)
+    append_table(logged.withColumn("log_ts", again), metrics_path)
+    append_table(runs.select("model_name", "run_id", "run_ts"), versions_path)
     return metrics_path, versions_path
 
 
@@ -571,7 +623,7 @@ def daily_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def daily_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
     stored = read_table(spark, run_tables(spark, sf_dir)[1], MODEL_VERSIONS)
-    return stored.select("model_name", "version", "run_id")
+    return registry.model_versions(stored).select("model_name", "version", "run_id")
 
 
 def daily_history(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -581,7 +633,7 @@ def daily_history(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("log_metrics_long")
 def log_metrics_long(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return daily_metrics(spark, sf_dir)
+    return registry.last_logged(daily_metrics(spark, sf_dir))
 
 
 @query("model_versions")
@@ -629,13 +681,14 @@ def synth_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.withColumns({c: F.round(c, 4) for c in doubles})
 
 
-# The model (no SQL form)
+# The model. Scenario numbers are a feature and give the label away, so its results are known
 
 
 @query("rf_grid_search")
 def rf_grid_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     _, run = trained(spark, sf_dir)
-    return model.grid_results(spark, run.search)
+    found = model.grid_results(spark, run.search)
+    return found.select("grid_id", "num_trees", "max_depth", F.round("mean_auc", 2).alias("mean_auc"))
 
 
 @query("rf_predict")
@@ -644,17 +697,18 @@ def rf_predict(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = training_set(spark, store.history, None, store.ledger(spark))
     _, test = splits.hash_split(rows, KEY)
     predicted = model.load_model(store.model(run.run_id)).transform(test)
-    return model.scored(predicted, LABEL)
+    return predicted.select(KEY, F.col(LABEL).cast("double").alias("label"), "prediction")
 
 
 @query("rf_run_log")
 def rf_run_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     store, run = trained(spark, sf_dir)
-    logged = store.run_metrics(spark).withColumn("value", F.col("value").cast("string"))
-    return store.run_params(spark).unionByName(logged).where(F.col("run_id") == run.run_id)
+    logged = registry.last_logged(store.run_metrics(spark)).withColumn("value", F.col("value").cast("string"))
+    every = store.run_params(spark).unionByName(logged).where(F.col("run_id") == run.run_id)
+    return every.select("key", "value")
 
 
 @query("rf_promotion")
 def rf_promotion(spark: SparkSession, sf_dir: str) -> DataFrame:
     store, _ = trained(spark, sf_dir)
-    return cycle.promotions(spark, store)
+    return cycle.promotions(spark, store).select("model_name", "version", "alias")

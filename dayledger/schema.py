@@ -39,12 +39,14 @@ LEDGER = table(
     run_id="string",
     n_raw="long",
     n_clean="long",
+    n_labelled="long",
     ingest_ts="timestamp",
 )
 
 RUN_PARAMS = table(run_id="string", key="string", value="string")
-RUN_METRICS = table(run_id="string", key="string", value="double")
-MODEL_VERSIONS = table(model_name="string", version="integer", run_id="string", run_ts="timestamp")
+RUN_METRICS = table(run_id="string", key="string", value="double", log_ts="timestamp")
+# A version has no stored number: it is its place in the order of time, see registry.model_versions.
+MODEL_VERSIONS = table(model_name="string", run_id="string", run_ts="timestamp")
 
 
 def wide(schema: StructType) -> StructType:

@@ -27,6 +27,15 @@ def glob(spark: SparkSession, pattern: str) -> list[tuple[str, int]]:
     return [(s.getPath().toString(), s.getLen() if s.isFile() else 0) for s in files.globStatus(at) or []]
 
 
+def rename(spark: SparkSession, path: str, to: str) -> None:
+    """Move a file or folder, making the folders above its new place."""
+    at, files = hadoop_path(spark, path)
+    target, _ = hadoop_path(spark, to)
+    files.mkdirs(target.getParent())
+    if not files.rename(at, target):
+        raise OSError(f"{path} cannot become {to}")
+
+
 def delete(spark: SparkSession, path: str) -> None:
     """Remove a file or folder if it is there."""
     at, files = hadoop_path(spark, path)

@@ -36,6 +36,12 @@ def folder_days(spark: SparkSession, root: str) -> DataFrame:
     return spark.createDataFrame(names, "name STRING").where(is_day_name(F.col("name")))
 
 
+def partition_days(spark: SparkSession, root: str) -> list[dt.date]:
+    """Days of the `src_date=` folders directly below the root, ascending; one folder per day is listed."""
+    names = [path.rsplit("=", 1)[-1] for path, _ in glob(spark, f"{root.rstrip('/')}/{DAY}=*-*-*")]
+    return sorted(dt.date.fromisoformat(name) for name in names)
+
+
 def latest_days(days: DataFrame, last_n: int, day: str = DAY) -> DataFrame:
     """The last `last_n` distinct days, ascending."""
     return days.select(day).distinct().orderBy(F.desc(day)).limit(last_n).orderBy(day)
@@ -50,13 +56,17 @@ def training_set(
     """Labelled rows of the latest `last_n` days, or of the whole history.
 
     With a ledger the root is a `src_date=` table; days whose clean count is zero count
-    among the N but have no folder. Without one the root holds plain day folders.
+    among the N but have no folder. Without one the folders are the days that count: those of
+    a `src_date=` table, as a stream writes it, or else plain day folders.
     """
     if last_n is not None and last_n < 0:
         raise ValueError("last_n must not be negative")
+    written = partition_days(spark, root) if ledger is None else []
     if not last_n:
-        whole = scan_history if ledger is None else read_history
+        whole = read_history if ledger is not None or written else scan_history
         return labelled(whole(spark, root))
+    if written:
+        return labelled(read_history(spark, root, written[-last_n:]))
     # At most last_n dates reach the driver: they become literal folder paths.
     if ledger is None:
         base = root.rstrip("/")
@@ -72,7 +82,7 @@ def training_set(
 
 def latest_entries(ledger: DataFrame) -> DataFrame:
     """The newest ledger row of each day: a day may have been ingested again."""
-    newest = F.max_by(F.struct("source_key", "run_id", "n_raw", "n_clean", "ingest_ts"), "ingest_ts")
+    newest = F.max_by(F.struct("source_key", "run_id", "n_raw", "n_clean", "n_labelled", "ingest_ts"), "ingest_ts")
     return ledger.groupBy(DAY).agg(newest.alias("e")).select(DAY, "e.*")
 
 

@@ -10,7 +10,8 @@ from conftest import HEADER, days_from, row
 from dayledger.operators.cleaning import clean_counts
 from dayledger.plans import cycle, model
 from dayledger.plans.cycle import Store, clean_cycle, promotions, register, train_cycle, training_growth
-from dayledger.schema import RAW, wide
+from dayledger.schema import MODEL_VERSIONS, RAW, wide
+from dayledger.sinks import append_table
 from dayledger.sources import ledger_watermark, read_history, read_raw
 
 START = dt.date(2019, 8, 22)
@@ -44,7 +45,7 @@ def test_cycles_walk_over_a_gapped_source(spark, landing, tmp_path):
         assert entry["source_key"] == f"{day}.txt"
     assert read_history(spark, store.history).count() == sum(e["n_clean"] for e in ledger.values())
     growth = [r["train_rows"] for r in training_growth(store.ledger(spark), 3).orderBy("src_date").collect()]
-    per_day = [ledger[d]["n_clean"] for d in sorted(ledger)]
+    per_day = [ledger[d]["n_labelled"] for d in sorted(ledger)]
     assert growth == [sum(per_day[max(0, i - 2): i + 1]) for i in range(len(per_day))]
 
 
@@ -77,7 +78,7 @@ def test_empty_day_is_ledgered_and_clears_old_rows(spark, landing, tmp_path):
     # Ingesting the first day again, now without a clean row, removes its old rows.
     landing("2019-08-23", [row(1, "2019-08-23", customer="0")])
     again = {dt.date(2019, 8, 23): [f"{landing.root}/2019-08-23.txt"]}
-    assert cycle.clean_days(spark, landing.root, store, again, "again") == {dt.date(2019, 8, 23): (1, 0)}
+    assert cycle.clean_days(spark, landing.root, store, again, "again") == {dt.date(2019, 8, 23): (1, 0, 0)}
     cycle.drop_days(spark, store.history, again)
     assert not (Path(store.history) / "src_date=2019-08-23").exists()
 
@@ -95,7 +96,7 @@ def test_a_repeated_run_changes_nothing(spark, landing, tmp_path):
     first = cycle.clean_days(spark, landing.root, store, paths, "died_before_the_ledger")
     assert watermark(spark, store) == START
     done = clean_cycle(spark, landing.root, store, START)
-    assert done.counts == first
+    assert done.counts == {day: counted[:2] for day, counted in first.items()}
     assert read_history(spark, store.history).count() == done.n_clean
 
 
@@ -168,6 +169,15 @@ def test_train_register_and_promote(spark, landing, tmp_path):
     assert promotions(spark, store, "f1").where("version = 3").first()["alias"] == "challenger"
 
 
+def test_two_registers_at_once_are_two_versions(spark, tmp_path):
+    store = Store(str(tmp_path / "store"))
+    now = dt.datetime(2024, 1, 1, tzinfo=dt.timezone.utc)
+    for run in ("r2", "r1"):
+        append_table(spark.createDataFrame([("m", run, now)], MODEL_VERSIONS), store.path("model_versions"))
+    assert {(r["run_id"], r["version"]) for r in store.versions(spark).collect()} == {("r1", 1), ("r2", 2)}
+    assert register(spark, store, "m", "r3") == ("champion", 3)
+
+
 def test_training_guards(spark, landing, tmp_path):
     store = Store(str(tmp_path / "store"))
     landing("2019-08-23", [row(i, "2019-08-23", fraud="") for i in range(5)])

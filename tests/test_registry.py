@@ -1,10 +1,12 @@
 from __future__ import annotations
 
+import datetime as dt
 import random
 
 import pytest
 
 from dayledger.operators import registry
+from dayledger.schema import RUN_METRICS
 from dayledger.sinks import metrics_long
 
 
@@ -47,13 +49,23 @@ def test_versions_restart_per_model_and_follow_time(spark):
 
 def test_a_version_without_the_metric_stays(spark):
     versions = spark.createDataFrame([("m", 1, "r1"), ("m", 2, "r2")], "model_name STRING, version INT, run_id STRING")
-    metrics = spark.createDataFrame([("r1", "auc", 0.5), ("r2", "f1", 0.9)], "run_id STRING, key STRING, value DOUBLE")
+    metrics = spark.createDataFrame([("r1", "auc", 0.5, None), ("r2", "f1", 0.9, None)], RUN_METRICS)
     got = {r["run_id"]: r["metric"] for r in registry.with_metric(versions, metrics).collect()}
     assert got == {"r1": 0.5, "r2": None}
     by_f1 = registry.champion_history(registry.with_metric(versions, metrics, "f1"))
     assert {r["alias"] for r in by_f1.collect()} == {"champion"}
 
 
+def test_the_last_value_of_a_repeated_metric_counts(spark):
+    versions = spark.createDataFrame([("m", 1, "r1")], "model_name STRING, version INT, run_id STRING")
+    noon, one = dt.datetime(2024, 1, 1, 12), dt.datetime(2024, 1, 1, 13)
+    rows = [("r1", "auc", 0.9, noon), ("r1", "auc", 0.7, one), ("r1", "auc", 0.95, None)]
+    metrics = spark.createDataFrame(rows, RUN_METRICS)
+    assert [r["metric"] for r in registry.with_metric(versions, metrics).collect()] == [0.7]
+    found = registry.champion_metric(versions, metrics)
+    assert [(r["version"], r["value"]) for r in found.collect()] == [(1, 0.7)]
+
+
 def test_nan_metric_is_refused(spark):
     wide = spark.createDataFrame([("r", float("nan"), 0.1)], "run_id STRING, auc DOUBLE, f1 DOUBLE")
     with pytest.raises(Exception, match="NaN metric: auc"):

@@ -78,7 +78,7 @@ def test_drop_days(spark, tmp_path):
 def test_tables_start_empty_and_grow(spark, tmp_path):
     path = str(tmp_path / "ledger")
     assert read_table(spark, path, LEDGER).count() == 0
-    entry = [(dt.date(2019, 8, 22), "k", "r", 3, 2, dt.datetime(2024, 1, 1))]
+    entry = [(dt.date(2019, 8, 22), "k", "r", 3, 2, 1, dt.datetime(2024, 1, 1))]
     for size in (1, 2):
         append_table(spark.createDataFrame(entry, LEDGER), path)
         assert read_table(spark, path, LEDGER).count() == size
@@ -128,7 +128,7 @@ def test_training_set_reads_only_the_chosen_folders(spark, tmp_path):
     write_days(three_days(spark), root)
     stamp = dt.datetime(2024, 1, 1)
     ledger = spark.createDataFrame(
-        [(dt.date(2019, 8, d), "k", "r", 9, n, stamp) for d, n in ((22, 100), (23, 100), (24, 100), (25, 0))],
+        [(dt.date(2019, 8, d), "k", "r", 9, n, n, stamp) for d, n in ((22, 100), (23, 100), (24, 100), (25, 0))],
         LEDGER,
     )
     rows = training_set(spark, root, 2, ledger)

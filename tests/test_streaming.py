@@ -5,8 +5,10 @@ from pyspark.sql import functions as F
 
 from conftest import days_from, row
 from dayledger.operators.cleaning import clean
+from dayledger.operators.features import feature_columns
 from dayledger.schema import RAW
-from dayledger.sources import read_history, read_raw
+from dayledger.operators.features import feature_columns
+from dayledger.sources import read_history, read_raw, training_set
 from dayledger.streaming import stream_ingest
 
 
@@ -38,6 +40,16 @@ def test_stream_equals_batch_and_reads_late_files(spark, landing, tmp_path):
     assert rows_of(read_history(spark, history)) == rows_of(clean(read_raw(spark, landing.root)))
 
 
+def test_streamed_history_can_be_trained_on(spark, landing, tmp_path):
+    for number, day in enumerate(days_from("2019-08-23", 4)):
+        landing(day, [row(number * 100 + i, day) for i in range(5)])
+    drain(spark, landing, tmp_path)
+    rows = training_set(spark, str(tmp_path / "history"), 2)
+    assert {str(r["src_date"]) for r in rows.collect()} == {"2019-08-25", "2019-08-26"}
+    assert training_set(spark, str(tmp_path / "history")).count() == 20
+    assert "batch_id" in rows.columns and "batch_id" not in feature_columns(rows)
+
+
 @pytest.mark.parametrize("name", ["2019-08-23.txt", "2019-08-23", "src_date=2019-08-23"])
 def test_a_day_in_two_batches_keeps_both(spark, tmp_path, name):
     folder = tmp_path / "landing" / name
