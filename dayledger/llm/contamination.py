@@ -19,7 +19,7 @@ count once; an empty benchmark hits nothing.
 from __future__ import annotations
 
 from collections import defaultdict
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -197,19 +197,20 @@ class Hit:
         return out
 
 
-def find(index: Index, texts: pa.Array) -> tuple[W.Words, dict[int, Hit]]:
-    """The words of texts, and the hits by row."""
+def find(indexes: Iterable[Index], texts: pa.Array) -> tuple[W.Words, dict[int, Hit]]:
+    """The words of texts, and the hits of all indexes together by row."""
     words = split(texts)
     hashes = words.hashes()
     found: dict[int, Hit] = {}
-    for a, b in index.runs(words, hashes):
-        numbers = [index.numbers[h] for h in hashes[a:b].tolist()]
-        d = int(np.searchsorted(words.first, a, "right")) - 1
-        base = a - int(words.first[d])
-        for start, n, items in index.hits(numbers):
-            hit = found.setdefault(d, Hit())
-            hit.items |= items
-            hit.ranges.append((base + start, base + start + n))
+    for index in indexes:
+        for a, b in index.runs(words, hashes):
+            numbers = [index.numbers[h] for h in hashes[a:b].tolist()]
+            d = int(np.searchsorted(words.first, a, "right")) - 1
+            base = a - int(words.first[d])
+            for start, n, items in index.hits(numbers):
+                hit = found.setdefault(d, Hit())
+                hit.items |= items
+                hit.ranges.append((base + start, base + start + n))
     return words, found
 
 
@@ -232,7 +233,7 @@ def _hits_udf(index: Broadcast):
     def hits(texts: pa.Array) -> pa.Array:
         columns: dict[str, list] = {name: [] for name in _HITS}
         for _, part in W.slices(texts):
-            words, found = find(index.value, part)
+            words, found = find([index.value], part)
             spans = [found[d].spans() if d in found else [] for d in range(len(part))]
             columns["n_words"] += words.counts.tolist()
             columns["items"] += [sorted(found[d].items - {None}) if d in found else [] for d in range(len(part))]
@@ -280,19 +281,20 @@ def find_contamination(docs: DataFrame, items: DataFrame, text: str = "text", ou
     return docs.withColumn(out, found).drop(*parts)
 
 
-def _cut_udf(index: Broadcast, max_words: int):
+def _cut_udf(indexes: list[Broadcast], max_words: int):
     """The share of hit words, and the text without its hit spans longer than max_words, until none is left."""
 
     @F.arrow_udf("struct<share:double,text:string>")
     def cut(texts: pa.Array) -> pa.Array:
         out, shares = [], np.zeros(len(texts))
+        blocks = [index.value for index in indexes]
         for at, part in W.slices(texts):
             own = part.to_pylist()
-            words, hits = find(index.value, part)
+            words, hits = find(blocks, part)
             for d, hit in hits.items():
                 shares[at + d] = sum(b - a for a, b in hit.spans()) / words.counts[d]
                 while True:
-                    words_now, found = find(index.value, pa.array([own[d]], pa.large_string()))
+                    words_now, found = find(blocks, pa.array([own[d]], pa.large_string()))
                     long = [(a, b) for a, b in found[0].spans() if b - a > max_words] if found else []
                     if not long:
                         break
@@ -314,17 +316,11 @@ def decontaminate(
 
     Hit spans of more than max_words words are removed from the text. A document of which more
     than max_share is hit goes altogether. The removal is repeated, since words that a removal
-    brings together can form a window again.
+    brings together can form a window again. Each time the hits of all blocks are taken together,
+    so the result does not depend on how the items are dealt into blocks.
     """
     share = docs.sparkSession.sparkContext.broadcast
     indexes = [share(index) for index in build_indexes(items, text=text, window=window, block_words=block_words)]
-    if len(indexes) > 1:  # the share of all blocks' hits together is needed before any is cut
-        docs = find_contamination(docs, items, text, "__hits", window, block_words)
-        docs = docs.where(F.col("__hits.n_hit") <= max_share * F.col("__hits.n_words")).drop("__hits")
     columns = docs.columns
-    for index in indexes:
-        docs = docs.withColumn("__cut", _cut_udf(index, max_words)(F.col(text)))
-        if len(indexes) == 1:
-            docs = docs.where(F.col("__cut.share") <= max_share)
-        docs = docs.withColumn(text, F.col("__cut.text")).select(*columns)
-    return docs
+    docs = docs.withColumn("__cut", _cut_udf(indexes, max_words)(F.col(text))).where(F.col("__cut.share") <= max_share)
+    return docs.withColumn(text, F.col("__cut.text")).select(*columns)

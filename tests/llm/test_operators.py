@@ -255,6 +255,25 @@ def test_contamination(spark, sf_dir, docs, awkward, empty):
     assert contamination.find_contamination(awkward, tests.where("false")).where("hits.n_hit > 0").count() == 0
 
 
+def test_decontaminate_does_not_depend_on_blocks(spark, awkward):
+    run = lambda stem, a, b: " ".join(f"{stem}{i}" for i in range(a, b))
+    items = [(1, run("a", 1, 21)), (2, f"{run('a', 1, 21)} {run('b', 1, 10)}"), (3, f"{run('u', 0, 6)} {run('v', 0, 6)}"), (4, run("c", 0, 12)), (5, "one two")]
+    texts = [
+        (1, f"{run('x', 0, 60)} {run('a', 1, 21)} {run('b', 1, 10)} {run('y', 0, 60)}"),
+        (2, f"{run('x', 0, 60)} {run('u', 0, 6)} {run('c', 0, 12)} {run('v', 0, 6)}"),  # the removal of item 4 makes item 3
+        (3, f"{run('x', 0, 30)} {run('a', 1, 21)} {run('c', 0, 12)}"),  # more than half over two items, less in each
+        (4, None),
+        (5, "one one two two"),
+    ]
+    tests = spark.createDataFrame(items, "item_id INT, text STRING").coalesce(1)
+    docs = spark.createDataFrame(texts, "doc_id BIGINT, text STRING")
+    left = lambda block, **more: sorted(map(tuple, contamination.decontaminate(docs, tests, block_words=block, **more).collect()))
+    for more in ({}, {"max_share": 1.0}, {"max_words": 2}, {"max_words": 15, "max_share": 1.0}):
+        assert left(1, **more) == left(50_000, **more)
+    whole = dict(left(1))
+    assert 3 not in whole and whole[1].split() == f"{run('x', 0, 60)} {run('y', 0, 60)}".split() and whole[2].split() == run("x", 0, 60).split()
+
+
 def test_pipeline(spark, sf_dir):
     import corpus_pipeline as p
 
