@@ -3,8 +3,9 @@
 Three base patterns find assignments, access ids and long hex runs. The method then looks at
 every base64, base64url and hex candidate, decodes it, and reports it only where the decoded
 bytes prove what they are: nested DER lengths that add up for a key, an OpenSSH key container,
-a PEM block whose body decodes to either, or a signed token whose header is a JSON object that
-names its algorithm.
+a PEM block whose body decodes to either (a private key may be locked or PGP armour: header lines
+and a closing checksum line are no part of the body), or a signed token whose header is a JSON
+object that names its algorithm.
 
 Kinds, in the order used for ties: assign, access, hex, der, openssh, pem, token. Offsets are
 code points, ends are exclusive.
@@ -33,7 +34,12 @@ HEX = re.compile(r"[0-9a-f]{32,}")
 HINT = re.compile(rb"passw|secret|token|api_?key", re.IGNORECASE)
 ENCODED = re.compile(r"[A-Za-z0-9+/_-]{32,}={0,2}")
 HEX_ANY = re.compile(r"(?:[0-9a-f]{2}){16,}|(?:[0-9A-F]{2}){16,}")
-PEM = re.compile(r"-----BEGIN ([A-Z0-9 ]{1,40})-----([A-Za-z0-9+/=\s\\]{16,}?)-----END \1-----", re.ASCII)
+_EOL = r"(?:\r?\n|(?:\\r)?\\n)"  # as it is, or escaped as in JSON
+_REST = rf"(?:(?!{_EOL}|-----(?:BEGIN|END) )[^\n])*{_EOL}"
+_HEADER = rf"[A-Za-z][A-Za-z0-9-]*:{_REST}(?:[ \t]+(?!{_EOL})(?=\S){_REST})*"
+#: Label, header lines (RFC 1421, PGP armour) that a blank line ends, body.
+PEM = re.compile(rf"-----BEGIN ([A-Z0-9 ]{{1,40}})-----(?:[ \t]*{_EOL}(?:{_HEADER})+[ \t]*{_EOL})?([A-Za-z0-9+/=\s\\]{{16,}}?)-----END \1-----", re.ASCII)
+PEM_CRC = re.compile(r"(?:\s|\\n)=[A-Za-z0-9+/]{4}(?:\s|\\[rn])*\Z", re.ASCII)
 TOKEN = re.compile(r"(?<![A-Za-z0-9_.-])([A-Za-z0-9_-]{8,})\.([A-Za-z0-9_-]{2,})\.([A-Za-z0-9_-]*)")
 
 _ENCODED = np.zeros(256, bool)
@@ -140,7 +146,7 @@ def method_spans(text: str) -> list[Span]:
     """What structure confirms: der, openssh, pem and token."""
     out = []
     for m in PEM.finditer(text):
-        body = re.sub(r"\\n|\s", "", m[2])
+        body = re.sub(r"\\[rn]|\s", "", PEM_CRC.sub("", m[2]))
         if key_kind(unbase64(body)) or "PRIVATE KEY" in m[1] and unbase64(body):
             out.append((m.start(), m.end(), "pem"))
     for m in TOKEN.finditer(text):

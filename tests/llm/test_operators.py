@@ -232,6 +232,16 @@ def test_structural_confirmation():
     assert kinds(text[:-8]) == [] and kinds("QUJD" * 20) == []
     assert kinds(f"see {head}.eyJhIjoxfQ.c2ln ok") == ["token"] and kinds("version.number.three long.words.here") == []
     assert "pem" in kinds(f"-----BEGIN RSA PRIVATE KEY-----\n{text}\n-----END RSA PRIVATE KEY-----")
+    locked = base64.b64encode(bytes(range(100, 220))).decode()
+    for end in ("\n", "\r\n", "\\n", "\\r\\n"):
+        rsa = ["-----BEGIN RSA PRIVATE KEY-----", "Proc-Type: 4,ENCRYPTED", "DEK-Info: DES-EDE3-CBC,0123456789ABCDEF", "", locked[:64], locked[64:], "-----END RSA PRIVATE KEY-----"]
+        pgp = ["-----BEGIN PGP PRIVATE KEY BLOCK-----", "Version: GnuPG v1.4.9 (GNU/Linux)", "Comment: two lines:", "  of it", "", locked[:64], locked[64:], "=aB3/", "-----END PGP PRIVATE KEY BLOCK-----"]
+        for lines in (rsa, pgp, [pgp[0], *pgp[4:]]):
+            t = f"see {end.join(lines)} there"
+            assert [x for x in secrets.method_spans(t) if x[2] == "pem"] == [(4, len(t) - 6, "pem")]
+            assert secrets.redact(t, secrets.method_spans(t), "#") == "see # there"
+    assert kinds("-----BEGIN PGP MESSAGE-----\nVersion: 1\n\n" + locked[:64] + "\n=aB3/\n-----END PGP MESSAGE-----") == []
+    assert kinds("-----BEGIN RSA PRIVATE KEY-----\nnot a header\n\n" + locked[:60] + "!\n-----END RSA PRIVATE KEY-----") == []
     ssh = base64.b64encode(b"\0\0\0\x0bssh-ed25519\0\0\0\x20" + bytes(range(32))).decode()
     assert kinds(f"ssh-ed25519 {ssh} me") == ["openssh"]
 
