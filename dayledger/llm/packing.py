@@ -192,6 +192,10 @@ class Limits:
         return np.array([self.tokens, self.documents or no_limit, self.attention or no_limit], np.int64)
 
 
+#: What the query and the pipeline pack by. A piece of 2048 tokens alone costs 2048 ** 2, so attention has no smaller capacity.
+SEQUENCE = Limits(documents=64, attention=2048**2, weights=(1.0, 0.5, 0.5))
+
+
 @dataclass(frozen=True)
 class Plan:
     """Slots: pieces of `length` with rank in [rank, rank + times) go to sequence + (their rank - rank), at offset."""

@@ -64,7 +64,7 @@ def op5_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return packing.pack(table(spark, sf_dir, "documents").select("doc_id", "text"), TOKENIZER)
+    return packing.pack(table(spark, sf_dir, "documents").select("doc_id", "text"), TOKENIZER, limits=packing.SEQUENCE)
 
 
 def op7_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:

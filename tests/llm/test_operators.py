@@ -177,6 +177,20 @@ def test_best_fit_keeps_every_constraint(by):
     assert load[:, 1].sum() == sum(counts.values()) and (load <= [2048, 40, 1_500_000]).all()
 
 
+def test_production_packs_by_every_dimension(spark, awkward, tmp_path):
+    import corpus_pipeline as p
+
+    texts = spark.createDataFrame([(i, "a" if i % 30 else "b " * 400) for i in range(600)], "doc_id BIGINT, text STRING")
+    texts.write.parquet(str(tmp_path / "documents.parquet"))
+    for rows in (QUERIES["op6_best_fit_packing"](spark, str(tmp_path)).collect(), p.best_fit_packing(spark, texts, "").collect()):
+        load: dict[int, np.ndarray] = {}
+        for r in rows:
+            load[r["sequence_id"]] = load.get(r["sequence_id"], 0) + np.array([r["length"], 1, r["length"] ** 2])
+        assert sorted(r["doc_id"] for r in rows) == list(range(600)) and (np.array(list(load.values())) <= packing.SEQUENCE.capacity).all()
+        assert max(n for _, n, _ in load.values()) == 64
+    assert all(packing.SEQUENCE.weights)
+
+
 def test_classifier(spark, sf_dir, docs, awkward, empty):
     rows = by_id(QUERIES["op7_quality_classifier"](spark, sf_dir).collect())
     assert len(rows) == len(docs) and all(0 <= r["score"] <= 1 and r["predicted"] == (r["score"] >= 0.7) for r in rows.values())
