@@ -160,9 +160,18 @@ def csv_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.schema(RAW).option("header", True).csv(path)
 
 
+@once_per_session
+def weekday_landing(spark: SparkSession, sf_dir: str) -> str:
+    """A landing area with gaps: the daily files of a feed that sends none at weekends."""
+    path = scratch_path(spark, "weekday_landing")
+    sent = transactions(spark, sf_dir).where(F.weekday(DAY) < 5)
+    write_csv(sent.hint("rebalance", DAY), path, (DAY,))
+    return path
+
+
 def weekday_listing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Files of the landing area that a feed without weekend files would have."""
-    return list_days(spark, landing(spark, sf_dir)).where(F.weekday(DAY) < 5)
+    """Every file of the landing area with gaps."""
+    return list_days(spark, weekday_landing(spark, sf_dir))
 
 
 @query("source_exists")

@@ -128,3 +128,13 @@ def test_a_day_may_be_a_folder_of_parts(spark, tmp_path, name):
     rows = read_raw(spark, day_glob(root, [DAY0]), base=root).collect()
     assert {(r[DAY], r["_source_key"]) for r in rows} == {(DAY0, "2019-08-23.txt")}
     assert len(rows) == 2
+
+
+def test_gap_queries_list_their_landing_area_in_full(spark, sf_dir, monkeypatch):
+    from dayledger import queries
+
+    listed = []
+    monkeypatch.setattr(queries, "list_days", lambda *a: listed.append(list_days(*a)) or listed[-1])
+    used = sorted(r[DAY] for r in queries.weekday_listing(spark, sf_dir).collect())
+    assert used == sorted(r[DAY] for r in listed[0].collect())
+    assert used and all(day.weekday() < 5 for day in used)
