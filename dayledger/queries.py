@@ -481,12 +481,13 @@ def hash_split_null_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("random_split_shares")
 def random_split_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Rows of both parts, ids in both, and whether the share of the first is 80 % within 3 points."""
+    """Rows of both parts, ids in both, and whether the first has 80 % of them within five standard deviations."""
     parts = random_split(spark, sf_dir)
     n_parts = parts.groupBy(KEY).agg(F.count_distinct("part").alias("n_parts"))
     both = n_parts.where("n_parts > 1").agg(F.count("*").alias("n")).scalar()
-    share = F.avg((F.col("part") == "train").cast("double"))
-    found = parts.agg(F.count("*").alias("n_rows"), share.between(0.77, 0.83).alias("share_fits"))
+    n_rows, n_train = F.count("*"), F.count_if(F.col("part") == "train")
+    fits = F.abs(n_train - 0.8 * n_rows) <= 5 * F.sqrt(0.8 * 0.2 * n_rows)
+    found = parts.agg(n_rows.alias("n_rows"), fits.alias("share_fits"))
     return found.select("n_rows", both.alias("n_in_both"), "share_fits")
 
 
