@@ -63,33 +63,44 @@ def auc(rows: DataFrame, label: str, score: str) -> DataFrame:
     and the running count of negatives is taken within a range plus the total of the ranges
     below, so no task sorts all scores and a score shared by many rows is one row.
     """
+    return auc_of(score_counts(rows, label, score))
+
+
+def score_counts(rows: DataFrame, label: str, score: str, by: tuple[str, ...] = ()) -> DataFrame:
+    """(by, score, pos, neg): what the AUC of any union of such rows can be found from.
+
+    Counts of several days are merged by adding them up for each score.
+    """
     scored = rows.select(
-        F.col(score).cast("double").alias("score"), (F.col(label) > 0.5).alias("positive")
+        *by, F.col(score).cast("double").alias("score"), (F.col(label) > 0.5).alias("positive")
     )
-    counts = scored.groupBy("score").agg(
+    return scored.groupBy(*by, "score").agg(
         F.count_if("positive").alias("pos"), F.count_if(~F.col("positive")).alias("neg")
     )
+
+
+def auc_of(counts: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
+    """The AUC of score counts, one for each group; scores must be distinct within a group."""
     ranges = counts.repartitionByRange("score").withColumn("range", F.spark_partition_id())
-    below = Window.partitionBy("range").orderBy("score").rowsBetween(Window.unboundedPreceding, -1)
+    below = Window.partitionBy(*by, "range").orderBy("score").rowsBetween(Window.unboundedPreceding, -1)
     # Pairs are counted twice over, so a tie is one; decimals keep the sums exact.
     won = 2 * F.coalesce(F.sum("neg").over(below), F.lit(0)) + F.col("neg")
     per_range = (
         ranges.withColumn("won", whole(won))
-        .groupBy("range")
+        .groupBy(*by, "range")
         .agg(
             F.sum("pos").alias("pos"),
             F.sum("neg").alias("neg"),
             F.sum((whole("pos") * F.col("won")).cast("decimal(38,0)")).alias("won"),
         )
     )
-    with_lower = per_range.withColumn("lower", rows_before("range", "neg"))
-    total = with_lower.agg(
+    with_lower = per_range.withColumn("lower", rows_before("range", "neg", by))
+    total = with_lower.groupBy(*by).agg(
         F.sum(F.col("won") + 2 * whole("pos") * whole("lower")).cast("double").alias("won"),
         (2.0 * F.sum("pos") * F.sum("neg")).alias("pairs"),
     )
-    return total.select(
-        F.when(F.col("pairs") > 0, F.col("won") / F.col("pairs")).otherwise(F.lit(0.0)).alias("auc")
-    )
+    found = F.when(F.col("pairs") > 0, F.col("won") / F.col("pairs")).otherwise(F.lit(0.0))
+    return total.select(*by, found.alias("auc"))
 
 
 def whole(count: str | Column) -> Column:

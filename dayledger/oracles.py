@@ -228,6 +228,20 @@ SELECT tranaction_id, strftime(src_date, '%Y-%m-%d') || '.txt' AS _source_key,
         "clean_summary": f"""WITH {DAILY}
 SELECT CAST(sum(n_raw) AS BIGINT) AS n_raw, CAST(sum(n_clean) AS BIGINT) AS n_clean FROM days""",
         "clean_mixed_landing": f"WITH {DAILY} SELECT * FROM days",
+        "stream_mixed_landing": all_clean,
+        "compacted_days": f"""WITH {DAILY}
+SELECT src_date, n_clean AS n_rows, n_labelled, CAST(1 AS BIGINT) AS n_folders, true AS files_fit FROM days WHERE n_clean > 0""",
+        "ledger_commits": f"""WITH {DAILY},
+placed AS (SELECT *, (row_number() OVER (ORDER BY src_date) + 11) // 12 AS version FROM days)
+SELECT version, count(*) AS n_days, min(src_date) AS first_day, CAST(sum(n_raw) AS BIGINT) AS n_raw,
+  CAST(sum(n_clean) AS BIGINT) AS n_clean FROM placed GROUP BY version""",
+        "committed_history": all_clean,
+        "changed_source_days": f"""WITH {TX},
+parts AS (SELECT DISTINCT src_date, CASE WHEN day(src_date) % 4 = 0 THEN 'late'
+    WHEN day(src_date) % 5 = 1 AND tranaction_id % 3 = 0 THEN 'changed' END AS status FROM tx)
+SELECT src_date, strftime(src_date, '%Y-%m-%d') || '.txt' AS source_key, status FROM parts
+WHERE status IS NOT NULL AND src_date <= (SELECT max(src_date) FROM parts WHERE status IS NULL)""",
+        "reconciled_ledger": f"WITH {DAILY} SELECT * FROM days",
         "stream_ingest": all_clean,
         "write_day_partitions": all_clean,
         "write_days_four_files": all_clean,
@@ -276,6 +290,14 @@ FROM pages""",
             f"round(avg({c}), 4) AS mean, round(stddev_samp({c}), 4) AS std FROM c"
             for i, c in enumerate(FEATURES)
         ),
+        "scaler_stats_window": f"""WITH {CLEAN}, d AS (
+  SELECT src_date, row_number() OVER (ORDER BY src_date) AS at FROM (SELECT DISTINCT src_date FROM tx)),
+w AS (SELECT e.src_date AS window_end, c.* FROM d e JOIN d b ON b.at BETWEEN e.at - 4 AND e.at JOIN c ON c.src_date = b.src_date) """
+        + " UNION ALL ".join(
+            f"SELECT window_end, '{c}' AS feature, count({c}) AS n, round(avg({c}), 4) AS mean, "
+            f"round(stddev_samp({c}), 3) AS std FROM w GROUP BY window_end"
+            for c in FEATURES
+        ),
         "standardize": z_scores(),
         "random_split_rows": all_clean,
         "hash_split": f"""WITH {CLEAN}
@@ -285,6 +307,13 @@ SELECT tranaction_id, CASE WHEN {h31('tranaction_id')} % 10 < 8 THEN 'train' ELS
 SELECT key, tranaction_id, CASE WHEN key IS NOT NULL AND {h31('key')} % 10 < 8 THEN 'train' ELSE 'test' END AS part
 FROM k""",
         "random_split_shares": f"WITH {CLEAN} SELECT count(*) AS n_rows, CAST(0 AS BIGINT) AS n_in_both, true AS share_fits FROM c",
+        "share_split": f"""WITH {CLEAN}
+SELECT tranaction_id, CASE WHEN {h31('tranaction_id')} < {int(0.8375 * PRIME)} THEN 'train' ELSE 'test' END AS part FROM c""",
+        "exact_split": f"""WITH {SAMPLED}
+SELECT {ALL_RAW}, CASE WHEN position <= (SELECT round(count(*) * 0.8) FROM tx) THEN 'train' ELSE 'test' END AS part FROM p""",
+        "exact_split_any_keys": f"""WITH {TX}, n AS (SELECT count(*) AS n, CAST(round(count(*) * 0.8) AS BIGINT) AS k FROM tx)
+SELECT 'train' AS part, k AS n_rows, k AS n_ids, CAST(0 AS BIGINT) AS n_lost FROM n
+UNION ALL SELECT 'test', n - k, n - k, 0 FROM n""",
         "kfold_assign": f"""WITH {CLEAN}
 SELECT tranaction_id, CAST({h31('tranaction_id')} % 3 AS INT) AS fold FROM c""",
         "exact_sample": f"WITH {SAMPLED} SELECT {ALL_RAW} FROM train",
@@ -297,6 +326,16 @@ SELECT label, CAST(prediction AS DOUBLE) AS prediction, count(*) AS n FROM j GRO
         "metric_accuracy": f"WITH {DOCUMENTS} SELECT {ACCURACY} AS accuracy",
         "metric_f1": f"WITH {DOCUMENTS}, {F1_PARTS} SELECT {F1} AS f1",
         "metric_auc": f"WITH {DOCUMENTS}, {AUC_PARTS} SELECT {AUC} AS auc",
+        "auc_per_window": f"""WITH {CLEAN}, l AS (SELECT * FROM c WHERE tx_fraud IS NOT NULL), d AS (
+  SELECT src_date, row_number() OVER (ORDER BY src_date) AS at FROM (SELECT DISTINCT src_date FROM l)),
+scores AS (
+  SELECT e.src_date AS window_end, tx_amount AS score, sum(tx_fraud) AS pos, sum(1 - tx_fraud) AS neg
+  FROM d e JOIN d b ON b.at BETWEEN e.at - 4 AND e.at JOIN l ON l.src_date = b.src_date GROUP BY 1, 2),
+ranked AS (
+  SELECT *, coalesce(sum(neg) OVER (PARTITION BY window_end ORDER BY score ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS lower
+  FROM scores)
+SELECT window_end, coalesce(round(CAST(sum(pos * (2 * lower + neg)) AS DOUBLE)
+  / nullif(CAST(2 * sum(pos) * sum(neg) AS DOUBLE), 0), 6), 0) AS auc FROM ranked GROUP BY window_end""",
         "eval_metrics": f"""WITH {TRANSACTIONS}, {F1_PARTS}, {AUC_PARTS}
 SELECT {AUC} AS auc, {ACCURACY} AS accuracy, {F1} AS f1""",
         "label_rate": f"""WITH {CLEAN}
@@ -321,6 +360,13 @@ UNION ALL SELECT tranaction_id, tx_amount, tx_fraud FROM c WHERE tx_fraud = 1"""
         "rf_grid_search": """SELECT CAST(grid_id AS INT) AS grid_id, CAST(num_trees AS INT) AS num_trees,
   CAST(max_depth AS INT) AS max_depth, CAST(1 AS DOUBLE) AS mean_auc
 FROM (VALUES (0, 20, 5), (1, 20, 10), (2, 50, 5), (3, 50, 10)) g(grid_id, num_trees, max_depth)""",
+        "rf_grid_search_by_day": f"""WITH {CLEAN}
+SELECT CAST({h31("date_diff('day', DATE '1970-01-01', src_date)")} % 3 AS INT) AS fold, count(DISTINCT src_date) AS n_days,
+  count(*) AS n_rows, CAST(1 AS DOUBLE) AS best_auc FROM c WHERE tx_fraud IS NOT NULL GROUP BY 1""",
+        "empty_guards": f"""WITH {CLEAN}
+SELECT 'no_days' AS guard, CAST(0 AS BIGINT) AS n_rows, 'no day with rows' AS raised
+UNION ALL SELECT 'no_labels', count(*), 'no labelled rows to train on' FROM c
+UNION ALL SELECT 'no_features', count(*), 'no numeric feature column' FROM c""",
         "rf_predict": f"""WITH {CLEAN}
 SELECT tranaction_id, CAST(tx_fraud AS DOUBLE) AS label, CAST(tx_fraud AS DOUBLE) AS prediction FROM c
 WHERE tx_fraud IS NOT NULL AND {h31('tranaction_id')} % 10 >= 8""",

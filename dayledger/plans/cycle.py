@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import datetime as dt
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
+from pyspark import inheritable_thread_target
 from pyspark.ml import PipelineModel
 from pyspark.ml.tuning import CrossValidatorModel
 from pyspark.sql import DataFrame, Observation, SparkSession, Window, functions as F
@@ -25,11 +27,12 @@ from dayledger.sources import (
     ledger_watermark,
     list_days,
     next_days,
+    read_history,
     read_raw,
     training_set,
 )
 from dayledger.sources.filesystem import glob
-from dayledger.sources.landing import require_files
+from dayledger.sources.landing import day_glob, require_files, source_files
 
 # Defaults of a cycle.
 START = dt.date(2019, 8, 1)
@@ -39,6 +42,8 @@ MAX_SCAN_DAYS = 30
 # Days in one write. Each counts its days by aggregates observed on the write, three for each day
 # and row; a longer catch-up is more writes, and every file is read once.
 WRITE_DAYS = 4
+# Such writes at a time.
+SIDE_BY_SIDE = 4
 
 
 @dataclass(frozen=True)
@@ -57,6 +62,36 @@ class Store:
     def ledger(self, spark: SparkSession) -> DataFrame:
         return read_table(spark, self.path("ledger"), LEDGER)
 
+    def begin(self, spark: SparkSession) -> int:
+        """What a run has seen when it begins; `record` takes it back."""
+        return 0
+
+    def stale_days(self, spark: SparkSession, landing: str, after: dt.date) -> list[dt.date]:
+        """Days already passed whose files are new or changed; only a committed store knows them."""
+        raise ValueError("a plain store does not know which files it has read; use a CommittedStore")
+
+    def write(self, rows: DataFrame, write_id: str) -> None:
+        """Write cleaned rows of some days; what other days hold stays."""
+        write_days(rows, self.history, AS_READ)
+
+    def record(
+        self, spark: SparkSession, entries: list[tuple], write_id: str, begun: int, sources: DataFrame
+    ) -> list[dt.date]:
+        """Enter the written days in the ledger; returns those that count."""
+        drop_days(spark, self.history, [e[0] for e in entries if not e[4]])
+        append_table(spark.createDataFrame(entries, LEDGER).coalesce(1), self.path("ledger"))
+        return [e[0] for e in entries]
+
+    def day_rows(self, spark: SparkSession, days: list[dt.date]) -> DataFrame:
+        """Cleaned rows of days that have some."""
+        return read_history(spark, self.history, days)
+
+    def training_rows(self, spark: SparkSession, last_n: int | None = None) -> DataFrame:
+        """Labelled rows of the latest days, or of all."""
+        ledger = self.ledger(spark)
+        # A history that only a stream has written has no ledger; its folders name its days.
+        return training_set(spark, self.history, last_n, None if ledger.isEmpty() else ledger)
+
     def run_params(self, spark: SparkSession) -> DataFrame:
         return read_table(spark, self.path("run_params"), RUN_PARAMS)
 
@@ -72,15 +107,17 @@ class Store:
 
 @dataclass(frozen=True)
 class Cleaned:
-    """What a cleaning run did. No days means that no new file was found."""
+    """What a cleaning run did. No days means that no new file was found, or that another run
+    committed all of them first."""
 
     run_id: str
     watermark: dt.date
     counts: dict[dt.date, tuple[int, int]] = field(default_factory=dict)
+    superseded: tuple[dt.date, ...] = ()
 
     @property
     def status(self) -> str:
-        return "cleaned" if self.counts else "nothing_found"
+        return "cleaned" if self.counts else "superseded" if self.superseded else "nothing_found"
 
     @property
     def n_raw(self) -> int:
@@ -121,30 +158,41 @@ def clean_cycle(
     run_id: str | None = None,
     drop_nan: bool = False,
     schema: StructType = RAW,
+    reconcile: bool = False,
 ) -> Cleaned:
     """Clean the next `take_n` existing days after the watermark.
 
     The watermark is exclusive and starts at `start`. It moves to the last found day, so
-    gaps are skipped and a file that shows up later for a passed day is not read. It moves
-    only after every day is written: a run that dies is repeated and overwrites its days.
+    gaps are skipped and a file that shows up later for a passed day is not read, unless
+    `reconcile` is set: then passed days with new or changed files are cleaned again as well,
+    which takes a store that knows the files it has read. The watermark moves only after every
+    day is written: a run that dies is repeated and overwrites its days.
     """
     run_id = run_id or stamped("clean")
+    # Where run ids repeat, as they do in a rerun, what they write still is not the same.
+    write_id = f"{run_id}_{uuid.uuid4().hex[:8]}"
+    begun = store.begin(spark)
     after = ledger_watermark(store.ledger(spark), start).first()[DAY]
     window = [after + dt.timedelta(days=i) for i in range(1, max_scan_days + 1)]
     listing = list_days(spark, landing, window)
     found = {r[DAY]: r for r in next_days(listing, after, take_n, max_scan_days).collect()}
+    stale = store.stale_days(spark, landing, start) if reconcile else []
+    if stale:
+        found |= {r[DAY]: r for r in list_days(spark, landing, stale).collect()}
     if not found:
         return Cleaned(run_id, after)
+    # Listed before they are read: a file that changes meanwhile differs from this list later.
+    sources = source_files(spark, landing, sorted(found))
     paths = {day: entry["paths"] for day, entry in found.items()}
-    counts = clean_days(spark, landing, store, paths, run_id, drop_nan, schema)
-    drop_days(spark, store.history, [d for d, (_, kept, _) in counts.items() if not kept])
+    counts = clean_days(spark, landing, store, paths, run_id, drop_nan, schema, write_id)
     # Timezone-aware, so the session zone does not shift the stored instant.
     now = dt.datetime.now(dt.timezone.utc)
     entries = [
         (d, found[d]["source_key"], run_id, *counted, now) for d, counted in counts.items()
     ]
-    append_table(spark.createDataFrame(entries, LEDGER).coalesce(1), store.path("ledger"))
-    return Cleaned(run_id, max(found), {d: (raw, kept) for d, (raw, kept, _) in counts.items()})
+    recorded = store.record(spark, entries, write_id, begun, sources)
+    kept = {d: counts[d][:2] for d in recorded}
+    return Cleaned(run_id, max(after, *found), kept, tuple(sorted(set(found) - set(recorded))))
 
 
 def clean_days(
@@ -155,27 +203,33 @@ def clean_days(
     run_id: str,
     drop_nan: bool = False,
     schema: StructType = RAW,
+    write_id: str | None = None,
 ) -> dict[dt.date, tuple[int, int, int]]:
     """Write the days found at `paths`, a few in each scan; returns the raw, clean and clean labelled
     rows of each.
 
     The write has no shuffle, so the observed counts come from its final tasks, whose
     updates Spark counts once even when lost executors make it run some of them again.
+    Scans run side by side, as a few days seldom fill a cluster.
     """
     session = sibling_session(spark)
-    counts = {}
-    days = sorted(paths)
-    for at in range(0, len(days), WRITE_DAYS):
-        group = days[at : at + WRITE_DAYS]
+    sizes = dict(glob(session, day_glob(landing, paths)))
+
+    def clean_group(group: list[dt.date]) -> dict[dt.date, tuple[int, int, int]]:
         files = [path for day in group for path in paths[day]]
         rows = read_raw(session, files, schema, base=landing)
-        require_files(rows, {path: size for file in files for path, size in glob(session, file)})
+        require_files(rows, {file: sizes.get(file, 0) for file in files})
         seen = Observation()
         source = rows.observe(seen, *count_columns(group, drop_nan))
-        write_days(with_lineage(clean(source, drop_nan), run_id), store.history, AS_READ)
+        store.write(with_lineage(clean(source, drop_nan), run_id), write_id or run_id)
         counted = seen.get
-        counts |= {d: tuple(counted.get(f"{kind}_{d}") or 0 for kind in ("raw", "clean", "labelled")) for d in group}
-    return counts
+        return {d: tuple(counted.get(f"{kind}_{d}") or 0 for kind in ("raw", "clean", "labelled")) for d in group}
+
+    days = sorted(paths)
+    groups = [days[at : at + WRITE_DAYS] for at in range(0, len(days), WRITE_DAYS)]
+    with ThreadPoolExecutor(SIDE_BY_SIDE) as pool:
+        found = list(pool.map(inheritable_thread_target(session)(clean_group), groups))
+    return {day: counted for group in found for day, counted in group.items()}
 
 
 def train_cycle(
@@ -200,9 +254,7 @@ def train_cycle(
         raise ValueError(f"metric must be one of {modelling.METRICS}")
     # Two runs may start in one second; the suffix keeps their metrics and models apart.
     run_id = run_id or f"{stamped('fraud_rf')}_{uuid.uuid4().hex[:8]}"
-    ledger = store.ledger(spark)
-    # A history that only a stream has written has no ledger; its folders name its days.
-    rows = training_set(spark, store.history, last_n, None if ledger.isEmpty() else ledger)
+    rows = store.training_rows(spark, last_n)
     columns = feature_columns(rows, LABEL, exclude)
     if not columns:
         raise ValueError("no numeric feature column")

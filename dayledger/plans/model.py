@@ -3,14 +3,18 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 
+import numpy as np
+from pyspark import inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.tuning import CrossValidator, CrossValidatorModel, ParamGridBuilder
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.ml.tuning import CrossValidatorModel, ParamGridBuilder
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from dayledger.functions.hashing import hash31
 from dayledger.operators import metrics
 from dayledger.operators.features import VECTOR, assembler, scaler
 from dayledger.schema import LABEL
@@ -42,25 +46,62 @@ def grid_search(
     parallelism: int = PARALLELISM,
     handle_invalid: str = "error",
     seed: int = SEED,
+    fold: Column | None = None,
 ) -> CrossValidatorModel:
-    """Cross-validated search on AUC, then a refit of the best point on all of `train`."""
-    estimator = build_pipeline(columns, handle_invalid, seed)
-    classifier = estimator.getStages()[-1]
+    """Cross-validated search on AUC, then a refit of the best point on all of `train`.
+
+    Folds are random, or those of `fold`, a column of numbers from 0 to `folds` - 1, as `day_fold`
+    gives them. What comes before the forest does not depend on the grid, so it is fitted once
+    for each fold and its vectors are kept for all grid points. The first point wins a tie.
+    """
+    prepare = Pipeline(stages=[assembler(columns, handle_invalid), scaler()])
+    classifier = forest(seed)
     grid = (
         ParamGridBuilder()
         .addGrid(classifier.numTrees, list(num_trees))
         .addGrid(classifier.maxDepth, list(max_depth))
         .build()
     )
-    search = CrossValidator(
-        estimator=estimator,
-        estimatorParamMaps=grid,
-        evaluator=BinaryClassificationEvaluator(labelCol=LABEL, metricName="areaUnderROC"),
-        numFolds=folds,
-        parallelism=parallelism,
-        seed=seed,
-    )
-    return search.fit(train)
+    evaluator = BinaryClassificationEvaluator(labelCol=LABEL, metricName="areaUnderROC")
+    dealt = F.floor(F.rand(seed) * folds) if fold is None else fold
+    # Kept, as random numbers would differ if other partitions were read a second time.
+    folded = train.withColumn("_fold", dealt.cast("int")).persist()
+
+    def vectors(stages: PipelineModel, rows: DataFrame) -> DataFrame:
+        return stages.transform(rows).select(LABEL, VECTOR).persist()
+
+    def score(task: tuple[int, int]) -> float:
+        learn, judge = kept[task[0]]
+        return evaluator.evaluate(classifier.copy(grid[task[1]]).fit(learn).transform(judge))
+
+    kept: list[tuple[DataFrame, DataFrame]] = []
+    try:
+        for k in range(folds):
+            rest, own = folded.where(F.col("_fold") != k), folded.where(F.col("_fold") == k)
+            stages = prepare.fit(rest)
+            kept.append((vectors(stages, rest), vectors(stages, own)))
+        tasks = [(k, point) for k in range(folds) for point in range(len(grid))]
+        with ThreadPoolExecutor(parallelism) as pool:
+            scores = np.array(list(pool.map(inheritable_thread_target(train.sparkSession)(score), tasks))).reshape(folds, len(grid))
+    finally:
+        for frame in [folded, *(frame for pair in kept for frame in pair)]:
+            frame.unpersist()
+    means = scores.mean(axis=0)
+    best = classifier.copy(grid[int(np.argmax(means))])
+    stages = prepare.fit(train)
+    model = PipelineModel([*stages.stages, best.fit(stages.transform(train))])
+    searched = CrossValidatorModel(model, means.tolist(), stdMetrics=scores.std(axis=0).tolist())
+    estimator = build_pipeline(columns, handle_invalid, seed)
+    return searched._set(estimator=estimator, estimatorParamMaps=grid, evaluator=evaluator, numFolds=folds, seed=seed)
+
+
+def day_fold(day: Column, folds: int = FOLDS, seed: int = SEED) -> Column:
+    """Fold of a row by its day, so that no day is learnt from and judged at once.
+
+    Days are dealt by a hash of their number; a row without a day is in the first fold.
+    """
+    number = F.datediff(day, F.lit("1970-01-01").cast("date"))
+    return F.coalesce(hash31(number, seed=seed) % folds, F.lit(0)).cast("int")
 
 
 def grid_results(spark: SparkSession, searched: CrossValidatorModel) -> DataFrame:

@@ -13,10 +13,11 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from dayledger import functions as fn
-from dayledger.operators import features, metrics, registry, splits, synthesis
+from dayledger.operators import features, metrics, moments, registry, splits, synthesis
 from dayledger.operators.cleaning import clean, clean_counts, with_lineage
 from dayledger.operators.positions import with_shuffled_position
-from dayledger.plans import cycle, model
+from dayledger.plans import cycle, model, windows
+from dayledger.plans.committed import CommittedStore, compact_days
 from dayledger.schema import (
     DAY,
     LABEL,
@@ -30,6 +31,7 @@ from dayledger.session import scratch_path
 from dayledger.sinks import append_table, metrics_long, read_table, write_csv, write_days
 from dayledger.sources import (
     calendar,
+    changed_days,
     labelled,
     latest_days,
     ledger_watermark,
@@ -40,9 +42,10 @@ from dayledger.sources import (
     read_raw,
     scan_history,
     source_exists,
+    source_files,
     training_set,
 )
-from dayledger.sources.filesystem import glob, rename
+from dayledger.sources.filesystem import files_at, glob, rename
 from dayledger.streaming import stream_ingest as start_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -276,9 +279,9 @@ def stream_training_window(spark: SparkSession, sf_dir: str) -> DataFrame:
     return raw_columns(training_set(spark, streamed(spark, sf_dir), LAST_N))
 
 
-@query("clean_mixed_landing")
-def clean_mixed_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Ledger counts of a landing area whose days come as four kinds of folder, some as two at once."""
+@once_per_session
+def mixed_landing(spark: SparkSession, sf_dir: str) -> str:
+    """A landing area whose days come as four kinds of folder, some as two at once."""
     root = scratch_path(spark, "mixed")
     form = F.when(F.day(DAY) % 4 == 3, F.col(KEY) % 2).otherwise(F.day(DAY) % 4)
     rows = transactions(spark, sf_dir).withColumn("form", form).hint("rebalance", DAY)
@@ -288,8 +291,109 @@ def clean_mixed_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
         name, kind = path.rsplit("/", 1)[-1], path.rsplit("/", 2)[-2]
         day = name.removeprefix(f"{DAY}=")
         rename(spark, path, f"{root}/landing/{ {'form=0': day, 'form=2': f'{day}.txt'}.get(kind, name) }")
-    store = cycle.Store(f"{root}/store")
-    cycle.clean_cycle(spark, f"{root}/landing", store, START, SCAN_DAYS, SCAN_DAYS, run_id=RUN)
+    return f"{root}/landing"
+
+
+@query("clean_mixed_landing")
+def clean_mixed_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ledger counts of every day, whatever its layout."""
+    store = cycle.Store(scratch_path(spark, "mixed_store"))
+    cycle.clean_cycle(spark, mixed_landing(spark, sf_dir), store, START, SCAN_DAYS, SCAN_DAYS, run_id=RUN)
+    return store.ledger(spark).select(DAY, "n_raw", "n_clean", "n_labelled")
+
+
+@once_per_session
+def streamed_commits(spark: SparkSession, sf_dir: str) -> CommittedStore:
+    """A committed store after a stream over days in every layout, a commit for each batch."""
+    store = CommittedStore(scratch_path(spark, "streamed_store"))
+    area, cursor = mixed_landing(spark, sf_dir), scratch_path(spark, "mixed_cursor")
+    start_stream(spark, area, store, cursor, files_per_trigger=10).awaitTermination()
+    return store
+
+
+@query("stream_mixed_landing")
+def stream_mixed_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    store = streamed_commits(spark, sf_dir)
+    return raw_columns(store.rows(spark, version=None))
+
+
+@query("compacted_days")
+def compacted_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows, labelled rows and folders of each streamed day after compaction, and whether it has at most four files."""
+    store = streamed_commits(spark, sf_dir)
+    compact_days(spark, store)
+    files = [(path.split("/")[-3].removeprefix(f"{DAY}="), path.rsplit("/", 1)[0]) for path, _, _ in files_at(spark, f"{store.history}/{DAY}=*/*/*.parquet")]
+    found = spark.createDataFrame(files, f"{DAY} STRING, path STRING").withColumn(DAY, F.col(DAY).cast("date"))
+    named = store.commits.read(spark).select(DAY, F.explode("folders").alias("folder"))
+    in_use = found.join(named, DAY).where(F.endswith("path", F.col("folder")))
+    n_files = in_use.groupBy(DAY).agg(F.count_distinct("folder").alias("n_folders"), (F.count("*") <= 4).alias("files_fit"))
+    rows = store.rows(spark).groupBy(DAY).agg(F.count("*").alias("n_rows"), F.count(LABEL).alias("n_labelled"))
+    return rows.join(n_files, DAY)
+
+
+# Commits of several runs, late and changed days
+
+
+@once_per_session
+def committed(spark: SparkSession, sf_dir: str) -> CommittedStore:
+    """Cycles of twelve days each; a run that has seen nothing of them tries to commit the first days again."""
+    store = CommittedStore(scratch_path(spark, "committed"))
+    area = landing(spark, sf_dir)
+    while cycle.clean_cycle(spark, area, store, START, 12, SCAN_DAYS, run_id=RUN).counts:
+        pass
+    first = store.ledger(spark).orderBy(DAY).limit(12).collect()
+    store.record(spark, [tuple(r) for r in first], "late", 0, spark.createDataFrame([], f"{DAY} date, path string, n_bytes bigint, modified bigint"))
+    return store
+
+
+@query("ledger_commits")
+def ledger_commits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Days and rows that each commit entered."""
+    entered = committed(spark, sf_dir).commits.changes(spark)
+    return entered.groupBy("version").agg(
+        F.count("*").alias("n_days"), F.min(DAY).alias("first_day"), F.sum("n_raw").alias("n_raw"), F.sum("n_clean").alias("n_clean")
+    )
+
+
+@query("committed_history")
+def committed_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return raw_columns(committed(spark, sf_dir).rows(spark))
+
+
+def arrival(day: Column, key: Column) -> Column:
+    """0 for what is there when the first cycle runs; every fourth day comes later, and every fifth in two parts."""
+    return F.when(F.day(day) % 4 == 0, 1).when((F.day(day) % 5 == 1) & (key % 3 == 0), 1).otherwise(0)
+
+
+@once_per_session
+def redelivered(spark: SparkSession, sf_dir: str) -> tuple[str, CommittedStore]:
+    """A landing area to which late days and further files of passed days came after its days were cleaned."""
+    root = scratch_path(spark, "redelivered")
+    rows = transactions(spark, sf_dir).withColumn("arrival", arrival(F.col(DAY), F.col(KEY)))
+    for part in (0, 1):
+        write_csv(rows.where(F.col("arrival") == part).drop("arrival").hint("rebalance", DAY), f"{root}/part{part}", (DAY,))
+    area, store = f"{root}/part0", CommittedStore(f"{root}/store")
+    cycle.clean_cycle(spark, area, store, START, SCAN_DAYS, SCAN_DAYS, run_id=RUN)
+    for path, _ in glob(spark, f"{root}/part1/{DAY}=*"):
+        day = path.rsplit("=", 1)[-1]
+        rename(spark, path, f"{area}/{day}")  # a plain folder beside what is there
+    return area, store
+
+
+@query("changed_source_days")
+def changed_source_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    area, store = redelivered(spark, sf_dir)
+    # Read as of the first commit, so that a reconciled store tells the same.
+    listed = source_files(spark, area)
+    found = changed_days(listed, store.commits.read(spark, 1), START)
+    return found.select(DAY, "source_key", "status")
+
+
+@query("reconciled_ledger")
+def reconciled_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ledger counts after a cycle that cleans late and changed days again."""
+    area, store = redelivered(spark, sf_dir)
+    cycle.clean_cycle(spark, area, store, START, SCAN_DAYS, SCAN_DAYS, run_id=RUN, reconcile=True)
     return store.ledger(spark).select(DAY, "n_raw", "n_clean", "n_labelled")
 
 
@@ -443,6 +547,17 @@ def scaler_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query("scaler_stats_window")
+def scaler_stats_window(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Statistics of the last five days up to each day, merged from the moments kept with the ledger."""
+    store = cleaned(spark, sf_dir)
+    windows.update_moments(spark, store)
+    stats = windows.window_stats(spark, store, LAST_N)
+    return stats.select(
+        "window_end", "feature", "n", F.round("mean", 4).alias("mean"), F.round("std", 3).alias("std")
+    )
+
+
 @query("standardize")
 def standardize(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = clean_tx(spark, sf_dir)
@@ -496,6 +611,33 @@ def kfold_assign(spark: SparkSession, sf_dir: str) -> DataFrame:
     return splits.with_fold(clean_tx(spark, sf_dir), KEY).select(KEY, "fold")
 
 
+@query("share_split")
+def share_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A share that is no tenth, drawn row by row from the hash of the key."""
+    train, test = splits.share_split(clean_tx(spark, sf_dir).repartition(5), 0.8375, KEY)
+    both = train.withColumn("part", F.lit("train")).unionByName(test.withColumn("part", F.lit("test")))
+    return both.select(KEY, "part")
+
+
+@query("exact_split")
+def exact_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The exact sample and the rest of rows whose key tells them apart."""
+    train, test = splits.exact_split(transactions(spark, sf_dir), KEY)
+    both = train.withColumn("part", F.lit("train")).unionByName(test.withColumn("part", F.lit("test")))
+    return both.select(*RAW.names, DAY, "part")
+
+
+@query("exact_split_any_keys")
+def exact_split_any_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of both parts, and those lost, where most keys are null and the others repeat."""
+    key = F.when(F.col(KEY) % 10 == 0, F.col("customer_id") % 7)
+    rows = transactions(spark, sf_dir).select(KEY, key.alias("key"))
+    train, test = splits.exact_split(rows, "key")
+    both = train.withColumn("part", F.lit("train")).unionByName(test.withColumn("part", F.lit("test")))
+    lost = rows.join(both.select(KEY), KEY, "left_anti").agg(F.count("*").alias("n")).scalar()
+    return both.groupBy("part").agg(F.count("*").alias("n_rows"), F.count_distinct(KEY).alias("n_ids")).withColumn("n_lost", lost)
+
+
 @query("exact_sample")
 def exact_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
     return raw_columns(splits.exact_sample(transactions(spark, sf_dir), KEY))
@@ -560,6 +702,23 @@ def metric_auc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(F.round("auc", 6).alias("auc"))
 
 
+@once_per_session
+def daily_score_counts(spark: SparkSession, sf_dir: str) -> str:
+    """Score counts of each day, stored by day."""
+    judged = labelled(clean_tx(spark, sf_dir))
+    path = scratch_path(spark, "score_counts")
+    write_days(metrics.score_counts(judged, LABEL, "tx_amount", (DAY,)), path)
+    return path
+
+
+@query("auc_per_window")
+def auc_per_window(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The exact AUC of the last five days up to each day, merged from stored score counts."""
+    counts = spark.read.parquet(daily_score_counts(spark, sf_dir))
+    merged = moments.auc_window(counts, counts.select(DAY), LAST_N)
+    return metrics.auc_of(merged, ("window_end",)).select("window_end", F.round("auc", 6).alias("auc"))
+
+
 @query("eval_metrics")
 def eval_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = model.evaluate_exact(judged_transactions(spark, sf_dir), "label", "prediction", "score")
@@ -701,6 +860,38 @@ def rf_grid_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("grid_id", "num_trees", "max_depth", F.round("mean_auc", 2).alias("mean_auc"))
 
 
+@query("rf_grid_search_by_day")
+def rf_grid_search_by_day(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A grid search whose folds are whole days: days and rows of each fold, and the best mean AUC."""
+    rows = training_set(spark, cleaned(spark, sf_dir).history)
+    fold = model.day_fold(F.col(DAY))
+    names = feature_names(rows.drop(DAY))
+    searched = model.grid_search(rows, names, num_trees=(5,), max_depth=(3, 5), fold=fold)
+    best = F.lit(round(max(searched.avgMetrics), 2))
+    counted = rows.groupBy(fold.alias("fold")).agg(F.count_distinct(DAY).alias("n_days"), F.count("*").alias("n_rows"))
+    return counted.withColumn("best_auc", best)
+
+
+@query("empty_guards")
+def empty_guards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a training run raises without days, without labelled rows and without features, and on how many rows."""
+    rows = clean_tx(spark, sf_dir).withColumn(SOURCE_KEY, fn.source_key(F.col(DAY)))
+    cases = {
+        "no_days": rows.where(F.col("tx_amount") <= 0),
+        "no_labels": rows.withColumn(LABEL, F.lit(None).cast("int")),
+        "no_features": rows.select(LABEL, DAY, SOURCE_KEY),
+    }
+    found = []
+    for name, kept in cases.items():
+        store = cycle.Store(scratch_path(spark, name))
+        write_days(kept, store.history)
+        try:
+            cycle.train_cycle(spark, store, LAST_N)
+        except ValueError as error:
+            found.append((name, kept.count(), str(error).split(" under ")[0]))
+    return spark.createDataFrame(found, "guard STRING, n_rows BIGINT, raised STRING")
+
+
 @query("rf_predict")
 def rf_predict(spark: SparkSession, sf_dir: str) -> DataFrame:
     store, run = trained(spark, sf_dir)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 import functools
+import re
 from collections.abc import Iterable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -11,9 +12,10 @@ from pyspark.sql.types import StructType
 
 from dayledger.functions import day_of_file, source_key
 from dayledger.functions.keys import SOURCE_SUFFIX
-from dayledger.schema import DAY, RAW, SOURCE_KEY
-from dayledger.sources.filesystem import glob
+from dayledger.schema import DAY, RAW, SOURCE_FILE, SOURCE_KEY
+from dayledger.sources.filesystem import files_at, glob
 
+DAY_NAME = re.compile(rf"(?:{DAY}=)?(\d{{4}}-\d\d-\d\d)(?:{re.escape(SOURCE_SUFFIX)})?")
 ANY_DAY = "[0-9][0-9][0-9][0-9]-[0-9][0-9]-[0-9][0-9]"
 
 
@@ -45,6 +47,35 @@ def list_days(spark: SparkSession, root: str, days: Iterable[dt.date] | None = N
     )
 
 
+def source_files(spark: SparkSession, root: str, days: Iterable[dt.date] | None = None) -> DataFrame:
+    """One row for each file of a day, in whatever layout: date, path, length and time of change."""
+    pattern = day_glob(root, days)
+    entries = []
+    for path, n_bytes, modified in files_at(spark, pattern) + files_at(spark, f"{pattern}/*"):
+        # The file names its day, or its folder does.
+        named = [m[1] for m in map(DAY_NAME.fullmatch, reversed(path.split("/")[-2:])) if m]
+        entries.append((named[0], path, n_bytes, modified))
+    listed = spark.createDataFrame(entries, "name STRING, path STRING, n_bytes BIGINT, modified BIGINT")
+    dated = listed.withColumn(DAY, F.col("name").try_cast("date"))
+    return dated.where(F.col(DAY).isNotNull()).select(DAY, "path", "n_bytes", "modified")
+
+
+def changed_days(listed: DataFrame, manifest: DataFrame, after: dt.date | None = None) -> DataFrame:
+    """Days up to the last committed one with files that were not read as they are now.
+
+    `late` days are not in the manifest, `changed` ones are. A file that is gone since it was read
+    makes no change: landing areas are tidied up.
+    """
+    known = manifest.select(DAY, F.inline("sources"))
+    new = listed.join(known, [DAY, "path", "n_bytes", "modified"], "left_anti")
+    last = manifest.agg(F.max(DAY)).scalar()
+    fits = (F.col(DAY) <= last) & (F.lit(True) if after is None else F.col(DAY) > F.lit(after))
+    found = new.where(fits).groupBy(DAY).agg(F.count("*").alias("n_changed"))
+    committed = manifest.select(DAY, F.lit(True).alias("there"))
+    status = F.when(F.col("there"), "changed").otherwise("late")
+    return found.join(committed, DAY, "left").select(DAY, source_key(F.col(DAY)).alias("source_key"), status.alias("status"), "n_changed")
+
+
 def calendar(spark: SparkSession, after: dt.date | Column, n_days: int) -> DataFrame:
     """The `n_days` calendar days that follow `after`, which itself is excluded."""
     start = after if isinstance(after, Column) else F.lit(after)
@@ -113,8 +144,10 @@ def by_layout(spark: SparkSession, paths: str | list[str]) -> list[str | list[st
         if any(c in root for c in "*?[{"):
             found = [path for path, _ in glob(spark, root)]
         else:
-            folders = [path for path, _ in glob(spark, f"{root}/{DAY}=*")]
-            found = folders + [path for path, _ in glob(spark, f"{root}/{ANY_DAY}*")] if folders else []
+            folders, plain = glob(spark, f"{root}/{DAY}=*"), glob(spark, f"{root}/{ANY_DAY}*")
+            # A scan of the root takes its files only; what has no length may be a folder.
+            whole = not folders and all(n_bytes for _, n_bytes in plain)
+            found = [] if whole else [path for path, _ in folders + plain]
         if not found:
             return [paths]
         paths = found
@@ -125,30 +158,36 @@ def by_layout(spark: SparkSession, paths: str | list[str]) -> list[str | list[st
 
 def require_files(rows: DataFrame, sizes: dict[str, int]) -> None:
     """Raise when a listed path with bytes gives no file to the scan of rows."""
-    read = [file.rstrip("/") for file in rows.inputFiles()]
+    read: set[str] = set()
+    for file in rows.inputFiles():
+        name = file.rstrip("/").split(":", 1)[-1].lstrip("/")
+        read |= {name, name.rsplit("/", 1)[0]}
     for path, n_bytes in sizes.items():
-        name = path.rstrip("/").split(":", 1)[-1].lstrip("/")
-        if n_bytes and not any(f"{name}/" in f"{file}/" for file in read):
+        if n_bytes and path.rstrip("/").split(":", 1)[-1].lstrip("/") not in read:
             raise ValueError(f"{path} has {n_bytes} bytes but is not read")
 
 
 def stream_raw(
     spark: SparkSession, root: str, files_per_trigger: int, schema: StructType = RAW
 ) -> DataFrame:
-    """The same scan as a stream that meets each file once."""
-    partitioned = bool(glob(spark, f"{root.rstrip('/')}/{DAY}=*"))
+    """The same scan as a stream that meets each file once, whatever layout it arrives in.
+
+    Partition discovery takes one layout for the whole area: plain files next to `src_date=`
+    folders are dropped and plain folders stop the query. So there is none, and the day of each
+    row comes from its path. Rows of a file that names no day have a null day; the column
+    `_source_file` tells which file that is.
+    """
     rows = (
         spark.readStream.schema(schema)
         .option("header", True)
-        # Any other folders below the root are looked into, but hold no partition values.
-        .option("recursiveFileLookup", not partitioned)
+        .option("recursiveFileLookup", True)
         .option("maxFilesPerTrigger", files_per_trigger)
         .csv(root)
     )
-    return with_source(rows, schema)
+    return with_source(rows, schema, F.col("_metadata.file_path").alias(SOURCE_FILE))
 
 
-def with_source(rows: DataFrame, schema: StructType) -> DataFrame:
+def with_source(rows: DataFrame, schema: StructType, *more: Column) -> DataFrame:
     """Day and key: free in `src_date=` folders, where the day is a partition value."""
     name = F.col("_metadata.file_name")
     if DAY in rows.columns:
@@ -156,4 +195,4 @@ def with_source(rows: DataFrame, schema: StructType) -> DataFrame:
     else:
         day = day_of_file(F.col("_metadata.file_path"), name)
         key = F.when(F.endswith(name, F.lit(SOURCE_SUFFIX)), name).otherwise(source_key(day))
-    return rows.select(*schema.names, day.alias(DAY), key.alias(SOURCE_KEY))
+    return rows.select(*schema.names, day.alias(DAY), key.alias(SOURCE_KEY), *more)

@@ -1,10 +1,11 @@
 from __future__ import annotations
 
+import pytest
 from pyspark.sql import functions as F
 
 from dayledger.functions import hash31
 from dayledger.operators.positions import with_shuffled_position
-from dayledger.operators.splits import exact_sample, hash_split, holdout, random_split, with_fold
+from dayledger.operators.splits import exact_sample, exact_split, hash_split, holdout, random_split, share_split, with_fold
 
 
 def ids(frame, key="id"):
@@ -77,3 +78,41 @@ def test_hash_split_loses_no_row_without_key(spark):
     train, test = hash_split(rows, "id")
     assert train.count() + test.count() == 52
     assert train.where("id IS NULL").count() == 0
+
+
+def test_exact_sample_refuses_null_keys(spark):
+    rows = spark.createDataFrame([(None,), (1,), (2,)], "id INT")
+    with pytest.raises(Exception, match="null in the key id"):
+        exact_sample(rows, "id").collect()
+
+
+@pytest.mark.parametrize("name, key", [
+    ("unique", "id"), ("mostly null", "IF(id % 10 = 0, id, NULL)"), ("all null", "CAST(NULL AS BIGINT)"), ("one key", "7L"),
+    ("few keys", "id % 3"), ("hot key", "IF(id % 3 = 0, -5L, id)"), ("negative", "-id"),
+])
+def test_exact_split_of_any_keys(spark, name, key):
+    for n, fraction, bits in ((0, 0.8, 16), (1, 0.8, 16), (101, 0.3, 2), (101, 1.0, 2), (1001, 0.8, 4)):
+        rows = spark.range(n).selectExpr("id", f"{key} AS k").repartition(3)
+        first, rest = (ids(part) for part in exact_split(rows, "k", fraction, bits=bits))
+        assert len(first) == round(fraction * n) and not first & rest and first | rest == set(range(n)), (name, n, fraction)
+
+
+def test_exact_split_of_unique_keys_is_the_exact_sample(spark):
+    rows = spark.range(3000).selectExpr("id * 7 - 900 AS id")
+    first, rest = exact_split(rows, "id", 0.37)
+    assert ids(first) == ids(exact_sample(rows, "id", 0.37)) and first.columns == rows.columns
+    same = spark.range(50).selectExpr("1 AS a", "CAST(NULL AS INT) AS k")
+    first, rest = exact_split(same, "k", 0.5)
+    assert first.count() == rest.count() == 25
+
+
+def test_share_split_on_any_partitioning(spark):
+    rows = spark.range(4000).selectExpr("id", "id % 10 AS a", "IF(id % 4 = 0, NULL, concat('x', id)) AS b")
+    for key in (None, "id"):
+        found = [ids(share_split(rows.repartition(n), 0.8375, key)[0]) for n in (1, 4, 8)]
+        assert found[0] == found[1] == found[2] and abs(len(found[0]) - 3350) < 5 * (4000 * 0.8375 * 0.1625) ** 0.5
+        first, rest = share_split(rows, 0.8375, key)
+        assert first.count() + rest.count() == 4000
+    assert share_split(rows, 1.0)[1].count() == 0 and share_split(rows, 0.0)[0].count() == 0
+    first, rest = share_split(spark.createDataFrame([(None,), (3,)], "id INT"), 1.0, "id")
+    assert [r[0] for r in first.collect()] == [3] and rest.count() == 1

@@ -3,11 +3,10 @@ from __future__ import annotations
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import days_from, row
+from conftest import HEADER, days_from, row
 from dayledger.operators.cleaning import clean
 from dayledger.operators.features import feature_columns
 from dayledger.schema import RAW
-from dayledger.operators.features import feature_columns
 from dayledger.sources import read_history, read_raw, training_set
 from dayledger.streaming import stream_ingest
 
@@ -65,3 +64,42 @@ def test_a_day_in_two_batches_keeps_both(spark, tmp_path, name):
     assert sorted(r["tranaction_id"] for r in history.collect()) == [1, 2]
     assert {r["batch_id"] for r in history.collect()} == {0, 1}
     assert {r["_source_key"] for r in history.collect()} == {"2019-08-23.txt"}
+
+
+def test_no_layout_hides_another(spark, landing, tmp_path):
+    landing("2024-01-01", [row(1, "2024-01-01"), row(2, "2024-01-01")])
+
+    def add(folder, i, day):
+        path = tmp_path / "landing" / folder
+        path.mkdir(exist_ok=True)
+        (path / f"part-{i}.csv").write_text(f"{HEADER}\n{row(i, day)}\n")
+
+    add("src_date=2024-01-02", 3, "2024-01-02")
+    add("2024-01-03", 4, "2024-01-03")
+    add("2024-01-04.txt", 5, "2024-01-04")
+    drain(spark, landing, tmp_path)
+    history = str(tmp_path / "history")
+    assert rows_of(read_history(spark, history)) == rows_of(clean(read_raw(spark, landing.root)))
+    assert [r[0] for r in rows_of(read_history(spark, history))] == [1, 2, 3, 4, 5]
+    # Layouts that appear after the query has begun.
+    add("src_date=2024-01-01", 6, "2024-01-01")
+    add("2024-01-02", 7, "2024-01-02")
+    drain(spark, landing, tmp_path)
+    found = {r["tranaction_id"]: str(r["src_date"]) for r in read_history(spark, history).collect()}
+    assert found == {1: "2024-01-01", 2: "2024-01-01", 3: "2024-01-02", 4: "2024-01-03", 5: "2024-01-04", 6: "2024-01-01", 7: "2024-01-02"}
+    assert {r["_source_key"] for r in read_history(spark, history).collect()} == {f"2024-01-0{i}.txt" for i in range(1, 5)}
+
+
+def test_a_file_that_names_no_day_stops_the_stream_or_is_set_aside(spark, landing, tmp_path):
+    landing("2024-01-01", [row(1, "2024-01-01")])
+    landing("2024-01-01_backup", [row(2, "2024-01-01"), row(3, "2024-01-01", amount="-1")])
+    with pytest.raises(Exception, match="no day in the path of .*2024-01-01_backup.txt"):
+        drain(spark, landing, tmp_path)
+    aside = str(tmp_path / "quarantine")
+    for _ in range(2):
+        stream_ingest(
+            spark, landing.root, str(tmp_path / "history"), str(tmp_path / "cursor"), files_per_trigger=2, quarantine=aside
+        ).awaitTermination()
+    assert [r["tranaction_id"] for r in read_history(spark, str(tmp_path / "history")).collect()] == [1]
+    held = spark.read.parquet(aside).collect()
+    assert sorted(r["tranaction_id"] for r in held) == [2, 3] and all(r["_source_file"].endswith("_backup.txt") for r in held)
