@@ -23,7 +23,7 @@ import re
 import zlib
 from array import array
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
@@ -74,14 +74,16 @@ class ChunkEncoder:
 
     def __init__(self, path: str, limit: int = 250_000):
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
         self.limit = limit
         self.chunks: dict[str, bytes | None] = {}
         self.spaced: dict[str, bytes | None] = {}  # by the word after one space, or by "\n" and the word
         self.split = re.compile(_CHUNK).findall
         self.odd = re.compile(_ODD_SPACE).search
         with open(path, encoding="utf-8") as file:
-            ranks = merge_ranks(json.load(file))
+            spec = json.load(file)
+        # The tokeniser finds its added tokens in a text before anything else.
+        self.added = [token["content"] for token in spec.get("added_tokens", ()) if token["content"]]
+        ranks = merge_ranks(spec)
         self.ranked = ranks and tiktoken.Encoding("file", pat_str=_PATTERN, mergeable_ranks=ranks, special_tokens={})
 
     def forget(self) -> None:
@@ -105,18 +107,19 @@ class ChunkEncoder:
         table.update((x, None if self.odd(x) else i) for x, i in zip(new, ids, strict=True))
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
-        even, other = {}, {}
+        even, other, whole = {}, {}, []
         for d, text in enumerate(texts):
             if not text:
                 continue
-            if any(x in text for x in _UNEVEN) or text[0] in " \n" or text[-1] in " \n":
+            if any(x in text for x in self.added):
+                whole.append(d)
+            elif any(x in text for x in _UNEVEN) or text[0] in " \n" or text[-1] in " \n":
                 other[d] = self.split(text)
             else:
                 even[d] = text.replace("\n", " \n").split(" ")
         self._learn(self.chunks, [*other.values(), *(own[:1] for own in even.values())])
         self._learn(self.spaced, list(even.values()), " ")
         out = [b""] * len(texts)
-        whole = []
         for d in range(len(texts)):
             try:
                 if d in even:
@@ -192,7 +195,8 @@ class Limits:
         return np.array([self.tokens, self.documents or no_limit, self.attention or no_limit], np.int64)
 
 
-#: What the query and the pipeline pack by. A piece of 2048 tokens alone costs 2048 ** 2, so attention has no smaller capacity.
+#: What the query and the pipeline pack by. A piece of 2048 tokens alone costs 2048 ** 2, so attention has no smaller capacity;
+#: the capacity of documents is doubled as long as it costs a sequence.
 SEQUENCE = Limits(documents=64, attention=2048**2, weights=(1.0, 0.5, 0.5))
 
 
@@ -247,6 +251,18 @@ def best_fit(counts: dict[int, int], limits: Limits = Limits()) -> Plan:
     return Plan(*columns, sequences)
 
 
+def fewest_sequences(counts: dict[int, int], limits: Limits) -> Plan:
+    """The plan with the smallest document capacity, from `limits.documents` on by doubling, that needs no more sequences than none."""
+    plan = best_fit(counts, replace(limits, documents=None))
+    documents = limits.documents
+    while documents and documents < limits.tokens:
+        bounded = best_fit(counts, replace(limits, documents=documents))
+        if bounded.sequences <= plan.sequences:
+            return bounded
+        documents *= 2
+    return plan
+
+
 def with_rank(cut: DataFrame, shards: int) -> DataFrame:
     """Append `rank`: the piece's number among the pieces of its length, from 0."""
     shard = F.pmod(F.xxhash64("doc_id", "piece", "start"), F.lit(shards)).cast("int")
@@ -266,7 +282,7 @@ def pack(docs: DataFrame, tokenizer: str, doc: str = "doc_id", text: str = "text
     pieces(docs, tokenizer, doc, text, limits.tokens).write.parquet(path)
     cut = spark.read.parquet(path)
     counts = {r["length"]: r["count"] for r in cut.groupBy("length").count().collect()}  # at most `tokens` rows
-    plan = spark.sparkContext.broadcast(best_fit(counts, limits))
+    plan = spark.sparkContext.broadcast(fewest_sequences(counts, limits))
     shards = shards or 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
 
     @F.arrow_udf("struct<sequence_id:bigint,offset:bigint>")

@@ -16,7 +16,7 @@ also starts in a document with a smaller id.
 3. Removal. Each document drops the words of its windows that start in an earlier document.
 
 Whole copies of an earlier document are found first, by a hash of all words, and need no
-windows.
+windows. A row is known as a copy by its id and that hash, as rows may share an id.
 
 Defined results: null and empty texts have no words; texts under 50 words have no windows and
 lose nothing; a null id neither loses words nor counts as earlier; rows that share an id do not
@@ -40,6 +40,7 @@ from dayledger.llm.scratch import Scratch
 WINDOW = 50
 BLOCK = 25
 BATCH_BYTES = 8 << 20
+SHARD_WORDS = 1 << 21
 
 _SALT = np.uint64(0xE7037ED1A0B428DB)
 _PROBES = pa.schema([("shard", pa.int32()), ("batch", pa.int64()), ("keys", pa.binary()), ("at", pa.binary()), ("block", pa.binary()), ("twice", pa.binary())])
@@ -183,6 +184,12 @@ def _to_documents(table: pa.Table) -> pa.Table:
     return pa.table({"doc_id": pa.array(ids[docs], pa.int64()), "anchors": pa.array(anchors, pa.binary())})
 
 
+def shard_count(signed: DataFrame) -> int:
+    """Hash shards for the probes of all words: at least four for each shuffle partition, and few enough words in each for one task."""
+    n_words = signed.agg(F.sum("n_words")).first()[0] or 0
+    return max(4 * int(signed.sparkSession.conf.get("spark.sql.shuffle.partitions")), n_words // SHARD_WORDS)
+
+
 def find_anchors(docs: DataFrame, doc: str = "doc_id", text: str = "text", block: int = BLOCK, shards: int | None = None) -> DataFrame:
     """(doc_id, anchors): where a document has a block that occurs again anywhere."""
     shards = shards or 4 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
@@ -192,7 +199,10 @@ def find_anchors(docs: DataFrame, doc: str = "doc_id", text: str = "text", block
 
 
 def anchored_windows(docs: DataFrame, anchors: DataFrame, doc: str = "doc_id", text: str = "text", window: int = WINDOW, block: int = BLOCK) -> DataFrame:
-    """(key, doc_id): the distinct windows of each document that contain one of its anchors."""
+    """(key, doc_id): the distinct windows of each document that contain one of its `anchors`.
+
+    A text whose hash is among the `wholes` of its id is a whole copy and gives none.
+    """
 
     def go(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in batches:
@@ -202,7 +212,8 @@ def anchored_windows(docs: DataFrame, anchors: DataFrame, doc: str = "doc_id", t
                 keys, owners = [], []
                 for d in range(len(part)):
                     own = hashes[words.first[d] : words.first[d + 1]]
-                    if len(own) < window:
+                    known = rows["wholes"][start + d].as_py()
+                    if len(own) < window or (known and digest(own)[0] in known):
                         continue
                     at = np.frombuffer(rows["anchors"][start + d].as_py(), np.uint32)
                     blocks = W.rolling(own, block)
@@ -227,13 +238,18 @@ def repeated_windows(docs: DataFrame, doc: str = "doc_id", text: str = "text", w
     if 2 * block - 1 > window:
         raise ValueError("a window must hold a whole block wherever it begins")
     keep = Scratch(docs)
-    copied = keep(copies(keep(manifest(docs, doc, text), "manifest"), window), "copies")
-    anchors = keep(find_anchors(docs, doc, text, block), "anchors").join(copied, "doc_id", "left_anti")
+    signed = keep(manifest(docs, doc, text), "manifest")
+    copied = keep(copies(signed, window), "copies")
+    whole = copied.groupBy("doc_id").agg(F.collect_set("whole_a").alias("wholes"))
+    found = keep(find_anchors(docs, doc, text, block, shard_count(signed)), "anchors")
+    # An id with one text is a copy or is none; of an id with several, each text is looked at.
+    several = signed.groupBy("doc_id").agg(F.min("whole_a").alias("least"), F.max("whole_a").alias("most")).where("least < most").select("doc_id")
+    alone = whole.join(several, "doc_id", "left_anti").select("doc_id")
+    anchors = found.join(alone, "doc_id", "left_anti").join(whole, "doc_id", "left")
     windows = keep(anchored_windows(docs, anchors, doc, text, window, block), "windows")
     first = windows.groupBy("key").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last")).where("first < last")
     later = windows.join(first, "key").where("doc_id > first")
     repeated = later.groupBy("doc_id").agg(F.collect_set("key").alias("keys"))
-    whole = copied.groupBy("doc_id").agg(F.collect_set("whole_a").alias("wholes"))
     return keep(repeated.join(whole, "doc_id", "full_outer"), "repeated")
 
 

@@ -9,7 +9,7 @@ as gzip readers skip zeros between members.
 
 Reading. A file is read by one task from its start. At each position there must be a gzip member
 or a version line, and a record must pass its checks: member checksum and length, complete header
-block with a content length, the two line ends behind the block, and the block and payload digests
+block with type, id and content length, the two line ends behind the block, and the block and payload digests
 where the header has them. After a failed check the reader searches for the next member or version
 line that passes, goes on from there, and logs the bytes in between with the reason as a
 quarantined gap. Records in the sound head of a damaged member are kept if their block digest
@@ -182,6 +182,8 @@ def read_record(data: bytes, at: int) -> Found:
     size = headers.get("content-length", "")
     if not re.fullmatch("[0-9]{1,18}", size):
         raise Damaged("no content length")
+    if not headers.get("warc-type") or not headers.get("warc-record-id"):
+        raise Damaged("no record type or id")
     to = end.end() + int(size)
     if to + len(END) > len(data):
         raise Damaged("record is cut short")
