@@ -10,13 +10,19 @@ A document is the set of its distinct 5-word shingles. Documents link where 100
    with one class is dropped.
 3. A node proposes a maximum spanning forest of its classes' estimated similarity, down to
    `floor` equal tokens: linear in the node, whatever its density. A node of more than `small`
-   classes does so in blocks, and also branches on by tokens that depend on the path, until its
-   nodes are small or the last level is reached.
+   classes does so in blocks, which a forest over one class of each block ties together; it also
+   branches on by tokens that depend on the path, until its nodes are small, hardly shrink any
+   more (a dense group) or the last level is reached.
 4. Every proposed pair is confirmed on the two full sets; links give groups.
-5. Groups that proposed pairs tie together without a link form a cluster. There the classes
-   outside the largest group are compared exhaustively with all others, on the full sets, block
-   against block. So a dense group costs no more than its forests, and a link that the forests
-   passed over is still found.
+5. Groups that proposed pairs tie together without a link form a cluster, in which the forests may
+   have passed over links. A cluster of more than `block` classes is thinned out first: its shingles
+   are put in the order of how many of its classes hold them, those of one group only in front, and
+   two classes of different groups can only link if they share one of their first
+   |x| - ceil(0.75 |x|) + 1. Classes that share none with another group are done, which is all of a
+   family of like templates with unlike contents; sharing divides the others into parts.
+   In each part the classes outside the largest group are compared exhaustively with all others, on
+   the full sets, block against block. So a dense group costs no more than its forests, and a link
+   that the forests passed over is still found.
 
 Two classes of similarity 0.75 stay together in no node of a tree (3 branches, then 2) with
 probability 0.026, in none of 4 trees with 5e-7. The estimate keeps pairs from `floor` equal
@@ -33,7 +39,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from dayledger.llm import words as W
@@ -46,8 +52,12 @@ TREES = 4
 BRANCHES = (3, 2)
 FURTHER = 3
 SMALL = 512
-LEVELS = 3
+LEVELS = 6
+#: A node that keeps a larger share of its parent's classes is dense, and branching on does not divide it.
+SHRINKING = 0.7
 BLOCK = 256
+#: Copies of the one row of a shingle that its holders are joined with.
+COPIES = 8
 LEAST = 75
 
 _SEEDS = W.mix(np.arange(1, TOKENS + 1, dtype=np.uint64) * np.uint64(0xA0761D6478BD642F)) | np.uint64(1)
@@ -138,7 +148,7 @@ def root_paths(classes: DataFrame, paths: np.ndarray) -> DataFrame:
 
 
 def branch_paths(members: DataFrame, branches: int = FURTHER) -> DataFrame:
-    """(node, rep) one level below (node, rep, tokens)."""
+    """(node, rep, was) one level below (node, rep, tokens, n); `was` is the parent's n."""
 
     def go(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -152,10 +162,10 @@ def branch_paths(members: DataFrame, branches: int = FURTHER) -> DataFrame:
                 at = _chosen(path, b)
                 below.append(W.mix(path ^ W.mix((at.astype(np.uint64) << np.uint64(32)) | tokens[rows, at].astype(np.uint64))))
             nodes = np.stack(below, axis=1).reshape(-1).view(np.int64)
-            reps = np.repeat(batch["rep"].to_numpy(zero_copy_only=False), branches)
-            yield pa.RecordBatch.from_arrays([pa.array(nodes), pa.array(reps)], names=["node", "rep"])
+            reps, was = (np.repeat(batch[c].to_numpy(zero_copy_only=False), branches) for c in ("rep", "n"))
+            yield pa.RecordBatch.from_arrays([pa.array(nodes), pa.array(reps), pa.array(was)], names=["node", "rep", "was"])
 
-    return members.select("node", "rep", "tokens").mapInArrow(go, "node bigint, rep bigint").distinct()
+    return members.select("node", "rep", "tokens", "n").mapInArrow(go, "node bigint, rep bigint, was bigint").distinct()
 
 
 def _alike(tokens: np.ndarray, a: np.ndarray | int, b: np.ndarray) -> np.ndarray:
@@ -317,7 +327,12 @@ def _sized(paths: DataFrame) -> DataFrame:
 def _blocks(members: DataFrame, small: int) -> DataFrame:
     """Nodes of more than `small` classes dealt into blocks of about that many."""
     block = F.pmod(F.xxhash64("rep", "node"), F.ceil(F.col("n") / small))
-    return members.withColumn("node", F.when(F.col("n") > small, F.xxhash64("node", block)).otherwise(F.col("node")))
+    dealt = members.withColumn("block", F.when(F.col("n") > small, F.xxhash64("node", block)))
+    blocks = dealt.select(F.coalesce("block", "node").alias("node"), "rep")
+    # One class of each block stands for it; where these are many they are dealt into blocks themselves.
+    heads = dealt.where(F.col("block").isNotNull()).groupBy("node", "n", "block").agg(F.min("rep").alias("rep"))
+    part = F.pmod(F.xxhash64("rep"), F.ceil(F.col("n") / small / small))
+    return blocks.unionByName(heads.select(F.xxhash64("node", F.lit(-1), part).alias("node"), "rep"))
 
 
 def _all_proposed(reps: DataFrame, keep: Scratch, paths: np.ndarray, floor: int, small: int, levels: int) -> DataFrame:
@@ -326,6 +341,8 @@ def _all_proposed(reps: DataFrame, keep: Scratch, paths: np.ndarray, floor: int,
     pairs = keep(proposed_pairs(_blocks(nodes, small), reps, floor).distinct(), "pairs")
     for _ in range(3, levels + 1):
         large = nodes.where(F.col("n") > small)
+        if "was" in nodes.columns:
+            large = large.where(F.col("n") < SHRINKING * F.col("was"))
         if large.isEmpty():
             break
         nodes = keep(_sized(branch_paths(large.join(reps.select("rep", "tokens"), "rep"))), "nodes")
@@ -375,6 +392,51 @@ def _linked_groups(least: int):
     return go
 
 
+def _held(members: DataFrame) -> DataFrame:
+    """(cluster, component, rep, n, token) for each of the n shingles of each class."""
+
+    def go(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, len(batch), 64):
+                part = batch.slice(at, 64)
+                sets = [np.frombuffer(x, np.int64) for x in part["shingles"].to_pylist()]
+                n = np.array([len(s) for s in sets])
+                columns = [np.repeat(part[c].to_numpy(zero_copy_only=False), n) for c in ("cluster", "component", "rep")]
+                columns += [np.repeat(n, n), np.concatenate(sets)]
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["cluster", "component", "rep", "n", "token"])
+
+    schema = "cluster bigint, component bigint, rep bigint, n bigint, token bigint"
+    return members.select("cluster", "component", "rep", "shingles").mapInArrow(go, schema)
+
+
+def _divided(clusters: DataFrame, sets: DataFrame, keep: Scratch, least: int, block: int) -> DataFrame:
+    """(cluster, component, rep) without the classes that can have no link to another component.
+
+    Clusters of at most `block` classes stay as they are. In others what is left is divided by who
+    shares a shingle among the first of both.
+    """
+    sizes = clusters.groupBy("cluster").agg(F.count("*").alias("n_all"))
+    large = keep(clusters.join(sizes.where(F.col("n_all") > block).select("cluster"), "cluster", "left_semi"), "large")
+    as_they_are = clusters.join(sizes.where(F.col("n_all") <= block).select("cluster"), "cluster", "left_semi")
+    if large.isEmpty():
+        return as_they_are
+    held = _held(large.join(sets, "rep")).withColumn("copy", F.pmod(F.hash("rep"), F.lit(COPIES)))
+    several = F.min("component") != F.max("component")
+    common = held.groupBy("cluster", "token").agg(several.alias("several"), F.count("*").alias("holders")).where("several")
+    common = common.drop("several").withColumn("copy", F.explode(F.sequence(F.lit(0), F.lit(COPIES - 1))))
+    shared = held.join(common, ["cluster", "token", "copy"]).drop("copy")
+    own = Window.partitionBy("rep")
+    # Of the first shingles in the order, those of one component alone come before and can be no link's.
+    first = F.col("n") - F.ceil(F.col("n") * least / 100) + 1 - (F.col("n") - F.count("*").over(own))
+    ranked = shared.withColumns({"first": first, "place": F.row_number().over(own.orderBy("holders", "token"))})
+    prefix = keep(ranked.where("place <= first").select("cluster", "component", "rep", "token"), "prefixes")
+    met = prefix.groupBy("cluster", "token").agg(several.alias("several"), F.min("rep").alias("a")).where("several").drop("several")
+    copies = met.withColumn("copy", F.explode(F.sequence(F.lit(0), F.lit(COPIES - 1))))
+    ends = prefix.withColumn("copy", F.pmod(F.hash("rep"), F.lit(COPIES))).join(copies, ["cluster", "token", "copy"])
+    parts = components(ends.where("rep <> a").select("a", F.col("rep").alias("b")).distinct(), keep).toDF("rep", "part")
+    return as_they_are.unionByName(large.drop("cluster").join(parts, "rep").select(F.col("part").alias("cluster"), "component", "rep"))
+
+
 def _between(clusters: DataFrame, sets: DataFrame, keep: Scratch, least: int, block: int) -> DataFrame:
     """(a, b): linked components of each cluster, from (cluster, component, rep).
 
@@ -435,7 +497,9 @@ def near_duplicates(
     open_pairs = keep(ends.where("u <> v").select(F.col("u").alias("a"), F.col("v").alias("b")).distinct(), "open")
     if not open_pairs.isEmpty():
         clusters = components(open_pairs, keep).toDF("component", "cluster")
-        between = keep(_between(members.join(clusters, "component"), sets, keep, least, block), "links")
+        tied = keep(members.join(clusters, "component"), "clusters")
+        divided = keep(_divided(tied, sets, keep, least, block), "divided")
+        between = keep(_between(divided, sets, keep, least, block), "links")
         if not between.isEmpty():
             merged = components(between, keep).toDF("component", "merged")
             members = members.join(merged, "component", "left").select("rep", F.coalesce("merged", "component").alias("component"))

@@ -79,6 +79,56 @@ def test_a_dense_group_beyond_every_block(spark, awkward):
     assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in got} == plain.near_groups(texts)
 
 
+def family(n, words, common, seed):
+    """Texts that have a share of their words in common, at the same places."""
+    dice = np.random.default_rng(seed)
+    same = dice.random(words) < common
+    return [(i, " ".join(f"b{k}" if same[k] else f"e{i}_{k}" for k in range(words))) for i in range(n)]
+
+
+def spied_tasks(monkeypatch):
+    """Rows of the table of comparisons, by call."""
+    seen = []
+    write = neardup.Scratch.__call__
+
+    def spy(self, rows, name):
+        kept = write(self, rows, name)
+        if name == "tasks":
+            seen.append(kept.count())
+        return kept
+
+    monkeypatch.setattr(neardup.Scratch, "__call__", spy)
+    return seen
+
+
+def test_a_family_of_unlike_texts_is_not_compared(spark, awkward, monkeypatch):
+    seen = spied_tasks(monkeypatch)
+    made = []
+    for n in (150, 300):
+        texts = family(n, 150, 0.93, 5)  # shingle similarity about 0.5
+        texts += [(1000 + i, f"{t} tail") for i, t in texts[:20]]  # each of these links with one
+        rows = spark.createDataFrame(texts, "doc_id BIGINT, text STRING")
+        seen.clear()
+        got = neardup.near_duplicates(rows, small=16, block=8).collect()
+        assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in got} == plain.near_groups(texts)
+        made.append(sum(seen))
+    assert made[1] <= 2 * made[0] + 300
+
+
+@pytest.mark.parametrize("common", [0.3, 0.9, 0.965])
+def test_links_among_boilerplate(spark, awkward, common):
+    dice = np.random.default_rng(9)
+    texts = family(120, 160, common, 6)
+    for i in range(60):  # copies of some with more and more changes, around the border
+        words = texts[i][1].split()
+        for k, at in enumerate(dice.choice(160, 1 + i // 8, replace=False)):
+            words[at] = f"z{i}_{k}"
+        texts.append((500 + i, " ".join(words)))
+    rows = spark.createDataFrame(texts, "doc_id BIGINT, text STRING")
+    got = neardup.near_duplicates(rows, small=16, block=8).collect()
+    assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in got} == plain.near_groups(texts)
+
+
 def test_repeats(spark, sf_dir, docs, awkward, empty):
     got = by_id(QUERIES["op2_substring_dedup"](spark, sf_dir).collect())
     assert {i: (r["n_words"], r["n_removed"], r["kept_sha256"]) for i, r in got.items()} == plain.without_repeats(docs)
