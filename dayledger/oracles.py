@@ -200,6 +200,11 @@ def oracles() -> dict[str, str]:
     all_clean = f"WITH {CLEAN} SELECT {ALL_RAW} FROM c"
     return {
         "scan_typed_csv": all_raw,
+        "rejected_cells": f"""WITH {TX}
+SELECT src_date, CAST(tranaction_id AS VARCHAR) AS "row", 'tx_datetime' AS "column", 'no time' AS text FROM tx WHERE tranaction_id % 11 = 0
+UNION ALL SELECT src_date, CAST(tranaction_id AS VARCHAR), 'terminal_id', '1.5' FROM tx WHERE tranaction_id % 23 = 0
+UNION ALL SELECT src_date, CAST(tranaction_id AS VARCHAR), 'tx_amount', 'n/a, "free"' FROM tx WHERE tranaction_id % 7 = 0
+UNION ALL SELECT src_date, CAST(tranaction_id AS VARCHAR), 'tx_fraud', 'yes' FROM tx WHERE tranaction_id % 29 = 0""",
         "csv_round_trip": f"WITH {TX} SELECT {RAW_COLUMNS} FROM tx",
         "source_exists": f"""WITH {WEEKDAYS},
 cal AS (SELECT CAST(DATE '2023-12-31' + CAST(i AS INT) AS DATE) AS src_date FROM range(1, 41) t(i))

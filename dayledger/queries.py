@@ -25,6 +25,7 @@ from dayledger.schema import (
     RAW,
     RUN_ID,
     RUN_METRICS,
+    SOURCE_FILE,
     SOURCE_KEY,
 )
 from dayledger.session import scratch_path
@@ -46,6 +47,7 @@ from dayledger.sources import (
     training_set,
 )
 from dayledger.sources.filesystem import files_at, glob, rename
+from dayledger.sources.rejected import rejected_cells as cells_not_read
 from dayledger.streaming import stream_ingest as start_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -156,6 +158,23 @@ def scan_typed_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
     return raw_columns(read_raw(spark, landing(spark, sf_dir)))
 
 
+@query("rejected_cells")
+def rejected_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every cell of badly written daily files that the typed scan reads as null."""
+    i = F.col(KEY)
+    bad = {
+        "tx_datetime": F.when(i % 11 == 0, "no time"),
+        "terminal_id": F.when(i % 23 == 0, "1.5"),
+        "tx_amount": F.when(i % 7 == 0, 'n/a, "free"'),
+        LABEL: F.when(i % 29 == 0, "yes"),
+    }
+    rows = transactions(spark, sf_dir)
+    texts = [F.coalesce(bad.get(c, F.lit(None)), F.col(c).cast("string")).alias(c) for c in RAW.names]
+    path = scratch_path(spark, "badly_written")
+    write_csv(rows.select(*texts, DAY).hint("rebalance", DAY), path, (DAY,))
+    return cells_not_read(spark, path).drop(SOURCE_FILE)
+
+
 @query("csv_round_trip")
 def csv_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "csv")

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from pathlib import Path
 
 import pytest
 from pyspark.errors import AnalysisException
@@ -9,6 +10,7 @@ from conftest import row
 from dayledger.operators.cleaning import clean
 from dayledger.schema import DAY
 from dayledger.sources.landing import day_glob
+from dayledger.sources.rejected import rejected_cells
 from dayledger.sources import calendar, list_days, next_days, read_raw, source_exists
 
 DAY0 = dt.date(2019, 8, 23)
@@ -138,3 +140,26 @@ def test_gap_queries_list_their_landing_area_in_full(spark, sf_dir, monkeypatch)
     used = sorted(r[DAY] for r in queries.weekday_listing(spark, sf_dir).collect())
     assert used == sorted(r[DAY] for r in listed[0].collect())
     assert used and all(day.weekday() < 5 for day in used)
+
+
+def test_rejected_cells_are_those_the_scan_reads_as_null(spark, landing):
+    rows = [
+        "1,2019-08-23 10:00:00,5,6,10.5,1,0,0,0", "2,2019-08-23 24:00:00,5,6,10.5,1,0,0,0", "4,2019-08-23,5,6,NaN,1,0,1,2",
+        "5,bad,5,6,1.0,1,0,1,2", "6,2019-08-23 10:00:00,abc,6,1.0,1,0,1,2", "9,2019-08-23 10:00:00,5,3,1.0,1,0",
+        "10,2019-08-23 10:00:00,5,3,1.0,1,0,,2,extra,more", "11,2019-08-23 10:00:00,5,3,Inf,1,0,1.0,2", 'x12,"1,5",,"a \\"q\\"",,,,,',
+    ]
+    landing("2019-08-23", rows)
+    landing("2019-08-24", None)
+    folder = Path(landing.root) / "src_date=2019-08-25"
+    folder.mkdir()
+    (folder / "p.csv").write_text("h\n13,oops,1,1,1,1,1,1,1\n")
+    found = {(str(r["src_date"]), r["row"], r["column"], r["text"]) for r in rejected_cells(spark, landing.root).collect()}
+    day = "2019-08-23"
+    assert found == {
+        (day, "2", "tx_datetime", "2019-08-23 24:00:00"), (day, "5", "tx_datetime", "bad"), (day, "6", "customer_id", "abc"),
+        (day, "10", "_extra", "extra"), (day, "11", "tx_fraud", "1.0"), (day, "x12", "tranaction_id", "x12"),
+        (day, "x12", "tx_datetime", "1,5"), (day, "x12", "terminal_id", 'a "q"'), ("2019-08-25", "13", "tx_datetime", "oops"),
+    }
+    landing("2019-08-23", rows[:1])
+    (folder / "p.csv").unlink()
+    assert rejected_cells(spark, landing.root).count() == 0
