@@ -354,6 +354,7 @@ ORDER BY means.mean_metric DESC, event_type LIMIT 1""",
         "log_metrics_long": f"WITH {RUNS} SELECT run_id, key, value FROM logged",
         "model_versions": f"WITH {RUNS} SELECT model_name, version, run_id FROM versions",
         "champion_history": f"WITH {RUNS} SELECT * FROM history",
+        "stream_promotion": f"WITH {RUNS} SELECT * FROM history",
         "current_champion": f"WITH {RUNS}, {newest('champion')} SELECT * FROM newest",
         "current_challenger": f"WITH {RUNS}, {newest('challenger')} SELECT * FROM newest",
         "champion_lookup": f"""WITH {RUNS}, {newest('champion')}

@@ -49,6 +49,7 @@ from dayledger.sources import (
 from dayledger.sources.filesystem import files_at, glob, rename
 from dayledger.sources.rejected import rejected_cells as cells_not_read
 from dayledger.streaming import stream_ingest as start_stream
+from dayledger.streaming import stream_promotions as start_promotions
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -834,6 +835,26 @@ def champion_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     return daily_history(spark, sf_dir)
 
 
+@once_per_session
+def streamed_promotions(spark: SparkSession, sf_dir: str) -> str:
+    """Decisions on the daily versions, which arrive a few days at a time; the stream is restarted in between."""
+    root = scratch_path(spark, "arriving")
+    runs = daily_runs(spark, sf_dir).withColumn("metric", F.col("auc")).select("model_name", "run_id", "run_ts", "metric")
+    week = F.weekofyear("run_ts")
+    weeks = [r[0] for r in runs.select(week.alias("week")).distinct().orderBy("week").collect()]
+    for number in weeks:  # one row for each model and day
+        runs.where(week == number).coalesce(1).write.mode("append").parquet(f"{root}/versions")
+        if number in (weeks[len(weeks) // 2], weeks[-1]):
+            arriving = spark.readStream.schema(runs.schema).option("maxFilesPerTrigger", 1).parquet(f"{root}/versions")
+            start_promotions(arriving, f"{root}/history", f"{root}/cursor").awaitTermination()
+    return f"{root}/history"
+
+
+@query("stream_promotion")
+def stream_promotion(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.read.parquet(streamed_promotions(spark, sf_dir))
+
+
 @query("current_champion")
 def current_champion(spark: SparkSession, sf_dir: str) -> DataFrame:
     return registry.current(daily_history(spark, sf_dir)).select("model_name", "version", "run_id")
