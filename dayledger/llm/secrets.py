@@ -5,7 +5,8 @@ every base64, base64url and hex candidate, decodes it, and reports it only where
 bytes prove what they are: nested DER lengths that add up for a key, an OpenSSH key container,
 a PEM block whose body decodes to either (a private key may be locked or PGP armour: header lines
 and a closing checksum line are no part of the body), or a signed token whose header is a JSON
-object that names its algorithm.
+object that names its algorithm. Keys are also found as the last segment of a path, wrapped over
+lines without a frame, as base64 of a whole PEM block, and as hex pairs with colons between them.
 
 Kinds, in the order used for ties: assign, access, hex, der, openssh, pem, token. Offsets are
 code points, ends are exclusive.
@@ -40,10 +41,15 @@ _HEADER = rf"[A-Za-z][A-Za-z0-9-]*:{_REST}(?:[ \t]+(?!{_EOL})(?=\S){_REST})*"
 #: Label, header lines (RFC 1421, PGP armour) that a blank line ends, body.
 PEM = re.compile(rf"-----BEGIN ([A-Z0-9 ]{{1,40}})-----(?:[ \t]*{_EOL}(?:{_HEADER})+[ \t]*{_EOL})?([A-Za-z0-9+/=\s\\]{{16,}}?)-----END \1-----", re.ASCII)
 PEM_CRC = re.compile(r"(?:\s|\\n)=[A-Za-z0-9+/]{4}(?:\s|\\[rn])*\Z", re.ASCII)
+#: Base64 over several lines, from the beginning of a run on.
+WRAPPED = re.compile(rf"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{{20,}}+(?:{_EOL}[ \t]*[A-Za-z0-9+/_-]++={{0,2}})+", re.ASCII)
+COLON_HEX = re.compile(r"(?<![0-9A-Fa-f:])(?:[0-9A-Fa-f]{2}:\s*){15,}+[0-9A-Fa-f]{2}(?![0-9A-Fa-f])", re.ASCII)
+#: Where in a path a key can begin: by the first letters of its base64.
+KEY_START = re.compile(r"(?<=/)(?=M|AAAA|b3BlbnNzaC1rZXkt)")
 TOKEN = re.compile(r"(?<![A-Za-z0-9_.-])([A-Za-z0-9_-]{8,})\.([A-Za-z0-9_-]{2,})\.([A-Za-z0-9_-]*)")
 
 _ENCODED = np.zeros(256, bool)
-_ENCODED[list(b"ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_-.=")] = True
+_ENCODED[list(b"ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_-.=:")] = True
 
 Span = tuple[int, int, str]
 
@@ -128,9 +134,70 @@ def is_openssh_key(data: bytes) -> bool:
 def key_kind(data: bytes | None) -> str | None:
     if data is None:
         return None
+    if data.lstrip()[:11] == b"-----BEGIN ":
+        return "pem" if any(is_pem_key(m) for m in PEM.finditer(data.decode("latin-1"))) else None
     return "der" if is_der_key(data) else "openssh" if is_openssh_key(data) else None
 
 
+def is_pem_key(m: re.Match) -> bool:
+    """Whether the body of a PEM block is a key, or decodes at all where the label says private key."""
+    data = unbase64(re.sub(r"\\[rn]|\s", "", PEM_CRC.sub("", m[2])))
+    return bool(data and (is_der_key(data) or is_openssh_key(data) or "PRIVATE KEY" in m[1]))
+
+
+def der_size(head: str) -> int | None:
+    """Bytes of the sequence that begins with these eight base64 letters."""
+    data = unbase64(head[:8])
+    if not data or len(data) < 6 or data[0] != 0x30:
+        return None
+    more = data[1] & 0x7F
+    if not data[1] & 0x80:
+        return 2 + more
+    return 2 + more + int.from_bytes(data[2 : 2 + more], "big") if 1 <= more <= 4 else None
+
+
+def path_keys(text: str) -> list[tuple[int, str]]:
+    """(start, kind) of a key after some slash of a candidate that goes on to its end.
+
+    Only the first letters are decoded at most slashes: they tell the length of a key.
+    """
+    out = []
+    n = len(text.rstrip("=")) * 3
+    for m in KEY_START.finditer(text):
+        at = m.start()
+        if text[at] == "M":
+            fits = der_size(text[at : at + 8]) == (n - 3 * at) // 4
+        elif text[at] == "A":
+            head = unbase64(text[at : at + 12]) or b""
+            fits = head[4:6] in (b"ss", b"ec", b"sk")
+        else:
+            fits = True
+        if fits and (kind := key_kind(unbase64(text[at:]))):
+            out.append((at, kind))
+    return out
+
+
+def wrapped_key(m: re.Match) -> tuple[int, str] | None:
+    """(end, kind) of a key that begins where the lines do and may end before they do."""
+    lines = re.sub(r"\\[rn]|\s", "", m[0])
+    size = der_size(lines)
+    if size is None:
+        kind = key_kind(unbase64(lines))
+        return (m.end(), kind) if kind else None
+    letters = -(-size * 4 // 3)
+    kind = key_kind(unbase64(lines[:letters])) if letters <= len(lines) else None
+    if not kind:
+        return None
+    seen, end = 0, m.start()
+    for part in re.finditer(r"\\[rn]|\s|[^\s\\]", m[0]):
+        if len(part[0]) == 1 and not part[0].isspace():
+            seen += 1
+            if seen > letters and part[0] != "=":
+                break
+            end = m.start() + part.end()
+    return end, kind
+
+
 def is_token_header(text: str) -> bool:
     data = unbase64(text)
     if not data or data[:1] != b"{":
@@ -146,8 +213,7 @@ def method_spans(text: str) -> list[Span]:
     """What structure confirms: der, openssh, pem and token."""
     out = []
     for m in PEM.finditer(text):
-        body = re.sub(r"\\[rn]|\s", "", PEM_CRC.sub("", m[2]))
-        if key_kind(unbase64(body)) or "PRIVATE KEY" in m[1] and unbase64(body):
+        if is_pem_key(m):
             out.append((m.start(), m.end(), "pem"))
     for m in TOKEN.finditer(text):
         if is_token_header(m[1]):
@@ -155,6 +221,14 @@ def method_spans(text: str) -> list[Span]:
     for m in ENCODED.finditer(text):
         if kind := key_kind(unbase64(m[0])):
             out.append((m.start(), m.end(), kind))
+        else:
+            out += [(m.start() + at, m.end(), kind) for at, kind in path_keys(m[0])]
+    for m in WRAPPED.finditer(text):
+        if found := wrapped_key(m):
+            out.append((m.start(), *found))
+    for m in COLON_HEX.finditer(text):
+        if kind := key_kind(bytes.fromhex(re.sub(r"[:\s]", "", m[0]))):
+            out.append((m.start(), m.end(), kind))
     for m in HEX_ANY.finditer(text):
         if kind := key_kind(bytes.fromhex(m[0])):
             out.append((m.start(), m.end(), kind))

@@ -338,8 +338,26 @@ def test_structural_confirmation():
             assert secrets.redact(t, secrets.method_spans(t), "#") == "see # there"
     assert kinds("-----BEGIN PGP MESSAGE-----\nVersion: 1\n\n" + locked[:64] + "\n=aB3/\n-----END PGP MESSAGE-----") == []
     assert kinds("-----BEGIN RSA PRIVATE KEY-----\nnot a header\n\n" + locked[:60] + "!\n-----END RSA PRIVATE KEY-----") == []
+    spans = lambda t: [(t[a:b], k) for a, b, k in secrets.method_spans(t)]
+    assert spans(f"see https://a.example/keys/v1/{text} there") == [(text, "der")]
+    assert spans(f"see https://a.example/keys/M/{text[:-8]} there") == [] == spans("https://a.example/" + "Mab/" * 200)
+    for end in ("\n", "\r\n", "\\n"):
+        wrapped = end.join(text[i : i + 64] for i in range(0, len(text), 64))
+        assert spans(f"key: {wrapped} and") == [(wrapped, "der")]
+        assert spans(f"key={wrapped}{end}andmoretextfollowshere on") == [(wrapped, "der")]
+        assert spans(f"{wrapped[:-70]}{end}") == []
+    block = f"-----BEGIN RSA PRIVATE KEY-----\n{text}\n-----END RSA PRIVATE KEY-----\n"
+    twice = base64.b64encode(block.encode()).decode()
+    assert spans(f"data: {twice};") == [(twice, "pem")] and spans(base64.b64encode(b"-----BEGIN RSA PRIVATE KEY-----\nno").decode()) == []
+    colons = ":".join(key.hex()[i : i + 2] for i in range(0, 2 * len(key), 2))
+    assert spans(f"raw {colons} end") == [(colons, "der")] and spans(colons[:-6]) == []
+    lines = ":\n    ".join(colons[i : i + 44] for i in range(0, len(colons), 45))
+    assert spans(f"raw\n    {lines}\n") == [(lines, "der")]
+    long = "A1b/" * 250_000
+    assert spans(long) == [] == spans("aa:" * 100_000) and spans("MIIE" * 100_000) == []
     ssh = base64.b64encode(b"\0\0\0\x0bssh-ed25519\0\0\0\x20" + bytes(range(32))).decode()
     assert kinds(f"ssh-ed25519 {ssh} me") == ["openssh"]
+    assert kinds(f"https://a.example/{ssh}") == ["openssh"]
 
 
 def test_contamination(spark, sf_dir, docs, awkward, empty):
