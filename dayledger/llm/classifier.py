@@ -15,6 +15,9 @@ holds a bounded matrix; scoring covers every row where it lies.
 Defined results: null and empty texts have only their structure features and get a score;
 rows without a label, or with a null one, are not learnt from; of repeated labels the largest
 counts; without any usable label the score is 0.5.
+
+Columns: an input column named like the result is replaced; names that begin with two underscores are the
+operator's own and may be replaced or dropped; all others come back unchanged.
 """
 
 from __future__ import annotations
@@ -139,14 +142,16 @@ def held_out(doc: Column) -> Column:
 def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, n: int, doc: str = "doc_id", text: str = "text", usable: Column | None = None) -> DataFrame:
     """(text, label) of at most n labelled documents, those with the smallest hashed ids.
 
-    The ids are at most n, so they are broadcast and the texts stay where they are.
+    The ids are at most n, so they are broadcast and the texts stay where they are. Of rows that
+    share an id the smallest text counts, so that no more than n rows come of them.
     """
     rows = labels.where(F.col(doc).isNotNull() & F.col(label).isNotNull())
     if usable is not None:
         rows = rows.where(usable)
     rows = rows.groupBy(doc).agg(F.max(label).cast("double").alias("label"))
-    chosen = rows.orderBy(F.xxhash64(doc), doc).limit(n).withColumnRenamed(doc, "__id")
-    return docs.join(F.broadcast(chosen), F.col(doc) == F.col("__id")).select(F.col(text).alias("text"), "label")
+    chosen = rows.orderBy(F.xxhash64(doc), doc).limit(n).withColumnRenamed(doc, "id")
+    texts = docs.select(F.col(doc).alias("id"), F.col(text).alias("text"))
+    return texts.join(F.broadcast(chosen), "id").groupBy("id").agg(F.min("text").alias("text"), F.first("label").alias("label")).select("text", "label")
 
 
 def train(docs: DataFrame, labels: DataFrame, label: str = "quality", sample: int = SAMPLE, doc: str = "doc_id", text: str = "text") -> Machine:

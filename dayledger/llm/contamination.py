@@ -14,6 +14,9 @@ of its own that is broadcast; a larger benchmark makes more blocks, not larger b
 Defined results: null or empty texts have no words and are not contaminated; items without
 words occur nowhere; an item shorter than the window is one window; items that share an id
 count once; an empty benchmark hits nothing.
+
+Columns: an input column named like the result is replaced; names that begin with two underscores are the
+operator's own and may be replaced or dropped; all others come back unchanged.
 """
 
 from __future__ import annotations

@@ -13,6 +13,9 @@ document, goes to the driver.
 
 Defined results: a null or empty text has zero counts and fails the base rule; a null id is
 kept as it is; repeated rows are scored each; an empty table gives an empty table.
+
+Columns: an input column named like the result is replaced; names that begin with two underscores are the
+operator's own and may be replaced or dropped; all others come back unchanged.
 """
 
 from __future__ import annotations

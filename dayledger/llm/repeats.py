@@ -21,6 +21,9 @@ windows. A row is known as a copy by its id and that hash, as rows may share an
 Defined results: null and empty texts have no words; texts under 50 words have no windows and
 lose nothing; a null id neither loses words nor counts as earlier; rows that share an id do not
 count as earlier than each other; an empty table gives an empty table.
+
+Columns: an input column named like the result is replaced; names that begin with two underscores are the
+operator's own and may be replaced or dropped; all others come back unchanged.
 """
 
 from __future__ import annotations
@@ -291,5 +294,5 @@ def remove_repeats(docs: DataFrame, doc: str = "doc_id", text: str = "text", win
         return pa.StructArray.from_arrays(arrays, names=["n_words", "n_removed", "kept", "kept_sha256"])
 
     found = repeated_windows(docs, doc, text, window, block).select(F.col("doc_id").alias("__id"), F.col("keys").alias("__keys"), F.col("wholes").alias("__wholes"))
-    joined = docs.join(found, F.col(doc) == F.col("__id"), "left")
+    joined = docs.drop(*found.columns).join(found, F.col(doc) == F.col("__id"), "left")
     return joined.withColumn(out, strip(F.col(text), F.col("__keys"), F.col("__wholes"))).drop("__id", "__keys", "__wholes")

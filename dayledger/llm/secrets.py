@@ -12,6 +12,9 @@ Kinds, in the order used for ties: assign, access, hex, der, openssh, pem, token
 code points, ends are exclusive.
 
 Defined results: null and empty texts have no spans; every row is judged by itself.
+
+Columns: an input column named like the result is replaced; names that begin with two underscores are the
+operator's own and may be replaced or dropped; all others come back unchanged.
 """
 
 from __future__ import annotations

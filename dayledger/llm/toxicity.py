@@ -20,6 +20,9 @@ covers every row.
 Defined results: null and empty texts have no features and the severity of a text without any;
 rows without a label are not learnt from; of repeated labels the largest counts; without toxic
 labels every severity is 0.
+
+Columns: an input column named like the result is replaced; names that begin with two underscores are the
+operator's own and may be replaced or dropped; all others come back unchanged.
 """
 
 from __future__ import annotations

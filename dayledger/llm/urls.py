@@ -11,6 +11,9 @@ two globs: the host itself, and anything before a dot and the host; then the pat
 
 Defined results: a null URL or one without `://` has an empty host and path; no site rule fits
 it and the globs judge the empty string; repeated rows are judged each.
+
+Columns: an input column named like the result is replaced; names that begin with two underscores are the
+operator's own and may be replaced or dropped; all others come back unchanged.
 """
 
 from __future__ import annotations

@@ -174,3 +174,12 @@ def test_every_bin_takes_the_best_piece_that_fits(by):
             filled.append(pick)
         want.append(filled)
     assert Counter(tuple(n for _, n in sorted(own)) for own in got.values()) == Counter(map(tuple, want))
+
+
+def test_a_sample_is_bounded_by_rows(spark):
+    docs = spark.createDataFrame([(1, f"copy {i}") for i in range(50)] + [(i, None) for i in range(2, 30)], "doc_id INT, text STRING").repartition(4)
+    labels = spark.createDataFrame([(i, i % 2) for i in range(40)] + [(1, 0), (None, 1)], "doc_id INT, quality INT")
+    for n in (5, 100):
+        rows = classifier.labelled_sample(docs, labels, "quality", n).collect()
+        assert len(rows) <= n
+    assert sorted(map(tuple, rows), key=str) == sorted([("copy 0", 1.0), *((None, float(i % 2)) for i in range(2, 30))], key=str)

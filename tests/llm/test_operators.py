@@ -420,3 +420,27 @@ def test_pipeline(spark, sf_dir):
     masked = {r["doc_id"]: r["text"] for r in p.secret_scan(spark, clean, sf_dir).collect()}
     assert all(masked[i] == t if not plain.base_secrets(t) else "[secret]" in masked[i] and not plain.base_secrets(masked[i]) for i, t in after.items())
     assert {r["doc_id"] for r in p.run(spark, sf_dir).select("doc_id").collect()} == set(after)
+
+
+def test_clashing_columns_have_a_defined_result(spark, awkward):
+    """The result replaces a column of its name; every other column is as it was."""
+    docs = awkward.select("doc_id", "text", *(F.lit("mine").alias(n) for n in ("quality", "hits", "secrets", "filter", "repeats", "score", "toxicity", "keys", "kept", "label", "__id")), F.lit(7).alias("n_words"))
+    tests = spark.createDataFrame([(1, "p1 p2 p3 p4 p5 p6 p7 p8 p9 p10 p11", "x")], "item_id INT, text STRING, hits STRING")
+    labels = spark.createDataFrame([(11, 1, 0, "x"), (14, 1, 1, "y"), (16, 0, 0, "z")], "doc_id BIGINT, quality INT, toxic INT, label STRING")
+    found = {
+        "quality": quality.score_rules(docs, quality.fit_rules(docs)),
+        "hits": contamination.find_contamination(docs, tests),
+        "secrets": secrets.find_secrets(docs),
+        "repeats": repeats.remove_repeats(docs),
+        "score": classifier.score_texts(docs, classifier.train(docs, labels)),
+        "toxicity": toxicity.score_toxicity(docs, toxicity.train(docs, labels)),
+    }
+    for name, rows in found.items():
+        others = [c for c in docs.columns if c not in (name, "__id")]
+        assert rows.count() == len(AWKWARD) and dict(rows.dtypes)[name] != "string", name
+        assert sorted(map(str, rows.select(others).collect())) == sorted(map(str, docs.select(others).collect())), name
+    pages = docs.withColumn("url", F.lit("http://a.org/x")).withColumn("__host", F.lit("mine"))
+    assert urls.filter_urls(pages, SITE_RULES).where("filter.verdict = 'allow' and quality = 'mine'").count() == len(AWKWARD)
+    others = [c for c in docs.columns if c != "__id"]
+    for stage in (quality.filter_quality(docs), neardup.drop_near_duplicates(docs), contamination.decontaminate(docs, tests), secrets.redact_secrets(docs)):
+        assert [c for c in stage.columns if c != "__id"] == others and stage.where("quality <> 'mine' or n_words <> 7").count() == 0
