@@ -1,4 +1,4 @@
-"""Commands for spark-submit: clean, train, cycle, stream and demo.
+"""Commands for spark-submit: clean, train, cycle, stream, compact and demo.
 
 Settings of the cluster, storage credentials included, come with the session.
 """
@@ -16,7 +16,7 @@ if not __package__:  # started by its path: the package's folder is not on the m
 from pyspark.sql import SparkSession
 
 from dayledger.operators import synthesis
-from dayledger.plans import cycle, demo, model
+from dayledger.plans import committed, cycle, demo, model
 from dayledger.schema import RAW, wide
 from dayledger.streaming import stream_ingest
 
@@ -38,12 +38,20 @@ def parser() -> argparse.ArgumentParser:
         sub.add_argument("--max-scan-days", type=int, default=365 if whole else cycle.MAX_SCAN_DAYS)
         sub.add_argument("--drop-nan", action="store_true", help="drop rows with a NaN amount")
         sub.add_argument("--wide-ids", action="store_true", help="read ids as 64-bit integers")
+        sub.add_argument("--reconcile", action="store_true", help="clean late and changed days again; needs --committed")
         if whole:
             training_options(sub)
             sub.set_defaults(last_n=5, model_name="fraud_model")
-    training_options(command("train", "store"))
+        committed_option(sub)
+    training = command("train", "store")
+    training_options(training)
+    committed_option(training)
     streaming = command("stream", "landing", "history", "checkpoint")
     streaming.add_argument("--files-per-trigger", type=int, default=cycle.TAKE_N)
+    streaming.add_argument("--quarantine", help="folder for rows of files that name no day")
+    committed_option(streaming)
+    compact = command("compact", "store")
+    compact.add_argument("--max-files", type=int, default=committed.MAX_FILES)
     demo_data = command("demo", "path")
     demo_data.add_argument("--rows", type=int, default=synthesis.ROWS)
     demo_data.add_argument("--fraud-rate", type=float, default=synthesis.FRAUD_RATE)
@@ -51,6 +59,10 @@ def parser() -> argparse.ArgumentParser:
     return top
 
 
+def committed_option(sub: argparse.ArgumentParser) -> None:
+    sub.add_argument("--committed", action="store_true", help="the store is one that several runs may write to")
+
+
 def training_options(sub: argparse.ArgumentParser) -> None:
     sub.add_argument("--last-n", type=int, help="train on the latest N days only")
     sub.add_argument("--model-name", help="register the run as a version of this model")
@@ -61,22 +73,24 @@ def training_options(sub: argparse.ArgumentParser) -> None:
 
 
 def run(spark: SparkSession, args: argparse.Namespace) -> None:
+    kind = committed.CommittedStore if getattr(args, "committed", False) else cycle.Store
     if args.command in ("clean", "cycle"):
         done = cycle.clean_cycle(
             spark,
             args.landing,
-            cycle.Store(args.store),
+            kind(args.store),
             args.start_date,
             args.take_n,
             args.max_scan_days,
             drop_nan=args.drop_nan,
             schema=wide(RAW) if args.wide_ids else RAW,
+            reconcile=args.reconcile,
         )
         print(f"{done.status}: {done.n_raw:,} -> {done.n_clean:,} rows, watermark {done.watermark}")
     if args.command in ("train", "cycle"):
         trained = cycle.train_cycle(
             spark,
-            cycle.Store(args.store),
+            kind(args.store),
             args.last_n,
             args.model_name,
             args.promote_metric,
@@ -86,9 +100,13 @@ def run(spark: SparkSession, args: argparse.Namespace) -> None:
         )
         print(f"{trained.run_id}: {trained.metrics} {trained.params} {trained.alias or ''}")
     if args.command == "stream":
+        history = kind(args.history) if args.committed else args.history
         stream_ingest(
-            spark, args.landing, args.history, args.checkpoint, args.files_per_trigger
+            spark, args.landing, history, args.checkpoint, args.files_per_trigger, quarantine=args.quarantine
         ).awaitTermination()
+    if args.command == "compact":
+        days = committed.compact_days(spark, committed.CommittedStore(args.store), args.max_files)
+        print(f"{len(days)} days compacted")
     if args.command == "demo":
         made = demo.write_demo_data(spark, args.path, args.rows, args.fraud_rate, args.seed)
         print(f"{made['n_rows']} rows, {made['n_fraud']} fraudulent ({made['fraud_pct']:.2f}%)")

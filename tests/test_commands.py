@@ -6,6 +6,7 @@ import sys
 from pathlib import Path
 
 from conftest import days_from, row
+from dayledger import CommittedStore
 from dayledger.__main__ import parser, run
 from dayledger.plans.cycle import Store
 from dayledger.sources import read_history
@@ -32,6 +33,25 @@ def test_clean_and_stream_commands(spark, landing, tmp_path, capsys):
     assert streamed.exceptAll(batch).isEmpty() and streamed.count() == 15
 
 
+def test_commands_on_a_committed_store(spark, landing, tmp_path, capsys):
+    for number, day in enumerate(days_from("2019-08-23", 2)):
+        landing(day, [row(number * 10 + i, day) for i in range(5)])
+    store = tmp_path / "store"
+    clean = ("clean", landing.root, store, "--start-date", "2019-08-22", "--committed")
+    call(spark, *clean)
+    landing("2019-08-23", [row(50 + i, "2019-08-23") for i in range(3)])
+    call(spark, *clean)
+    call(spark, *clean, "--reconcile")
+    call(spark, "stream", landing.root, store, tmp_path / "cursor", "--committed", "--files-per-trigger", "1")
+    call(spark, "compact", store)
+    printed = capsys.readouterr().out.splitlines()
+    assert printed == [
+        "cleaned: 10 -> 10 rows, watermark 2019-08-24", "nothing_found: 0 -> 0 rows, watermark 2019-08-24",
+        "cleaned: 3 -> 3 rows, watermark 2019-08-24", "2 days compacted",
+    ]
+    assert CommittedStore(str(store)).rows(spark).count() == 16
+
+
 def test_demo_command(spark, tmp_path, capsys):
     call(spark, "demo", tmp_path, "--rows", "1000")
     assert capsys.readouterr().out.strip() == "1000 rows, 50 fraudulent (5.00%)"
