@@ -15,7 +15,7 @@ A document is the set of its distinct 5-word shingles. Documents link where 100
    more (a dense group) or the last level is reached.
 4. Every proposed pair is confirmed on the two full sets; links give groups.
 5. Groups that proposed pairs tie together without a link form a cluster, in which the forests may
-   have passed over links. A cluster of more than `block` classes is thinned out first: its shingles
+   have passed over links. A cluster of more than `MANY` blocks of classes is thinned out first: its shingles
    are put in the order of how many of its classes hold them, those of one group only in front, and
    two classes of different groups can only link if they share one of their first
    |x| - ceil(0.75 |x|) + 1. Classes that share none with another group are done, which is all of a
@@ -35,6 +35,7 @@ component; repeated rows are each returned; an empty table gives an empty table.
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Iterator
 
 import numpy as np
@@ -56,6 +57,8 @@ LEVELS = 6
 #: A node that keeps a larger share of its parent's classes is dense, and branching on does not divide it.
 SHRINKING = 0.7
 BLOCK = 256
+#: Blocks of a cluster from which on it is thinned out; in a smaller one a set is sent to no more tasks than this.
+MANY = 16
 #: Copies of the one row of a shingle that its holders are joined with.
 COPIES = 8
 LEAST = 75
@@ -326,6 +329,8 @@ def _sized(paths: DataFrame) -> DataFrame:
 
 def _blocks(members: DataFrame, small: int) -> DataFrame:
     """Nodes of more than `small` classes dealt into blocks of about that many."""
+    if members.where(F.col("n") > small).isEmpty():
+        return members.select("node", "rep")
     block = F.pmod(F.xxhash64("rep", "node"), F.ceil(F.col("n") / small))
     dealt = members.withColumn("block", F.when(F.col("n") > small, F.xxhash64("node", block)))
     blocks = dealt.select(F.coalesce("block", "node").alias("node"), "rep")
@@ -336,9 +341,9 @@ def _blocks(members: DataFrame, small: int) -> DataFrame:
 
 
 def _all_proposed(reps: DataFrame, keep: Scratch, paths: np.ndarray, floor: int, small: int, levels: int) -> DataFrame:
-    """Distinct pairs from the nodes of every level."""
+    """Distinct pairs from the nodes of every level, which are proposed from in one pass."""
     nodes = keep(_sized(root_paths(reps, paths)), "nodes")
-    pairs = keep(proposed_pairs(_blocks(nodes, small), reps, floor).distinct(), "pairs")
+    every = [_blocks(nodes, small)]
     for _ in range(3, levels + 1):
         large = nodes.where(F.col("n") > small)
         if "was" in nodes.columns:
@@ -346,8 +351,8 @@ def _all_proposed(reps: DataFrame, keep: Scratch, paths: np.ndarray, floor: int,
         if large.isEmpty():
             break
         nodes = keep(_sized(branch_paths(large.join(reps.select("rep", "tokens"), "rep"))), "nodes")
-        pairs = pairs.unionByName(keep(proposed_pairs(_blocks(nodes, small), reps, floor).distinct(), "pairs"))
-    return pairs.distinct()
+        every.append(_blocks(nodes, small))
+    return proposed_pairs(functools.reduce(DataFrame.unionByName, every), reps, floor).distinct()
 
 
 def _common(sets: list[np.ndarray]) -> np.ndarray:
@@ -412,9 +417,10 @@ def _held(members: DataFrame) -> DataFrame:
 def _divided(clusters: DataFrame, sets: DataFrame, keep: Scratch, least: int, block: int) -> DataFrame:
     """(cluster, component, rep) without the classes that can have no link to another component.
 
-    Clusters of at most `block` classes stay as they are. In others what is left is divided by who
+    Clusters of at most `MANY` blocks stay as they are. In others what is left is divided by who
     shares a shingle among the first of both.
     """
+    block = MANY * block
     sizes = clusters.groupBy("cluster").agg(F.count("*").alias("n_all"))
     large = keep(clusters.join(sizes.where(F.col("n_all") > block).select("cluster"), "cluster", "left_semi"), "large")
     as_they_are = clusters.join(sizes.where(F.col("n_all") <= block).select("cluster"), "cluster", "left_semi")
