@@ -72,7 +72,7 @@ class ChunkEncoder:
     allows it, chunks are merged by ranks, which gives the file's own ids in a third of the time.
     """
 
-    def __init__(self, path: str, limit: int = 250_000):
+    def __init__(self, path: str, limit: int = 60_000):
         self.tokenizer = Tokenizer.from_file(path)
         self.limit = limit
         self.chunks: dict[str, bytes | None] = {}
