@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import threading
 from pathlib import Path
 
 import pytest
@@ -198,6 +199,34 @@ def test_null_feature_fails_unless_skipped(spark):
         model.grid_search(rows, ["a"], **SMALL)
 
 
+def test_forests_and_folds_wait_for_memory(spark, monkeypatch):
+    rows = spark.range(400).select((F.col("id") % 2).cast("int").alias("tx_fraud"), (F.col("id") % 7 + F.col("id") % 2).alias("a"))
+    lock, growing, most, kept = threading.Lock(), [0], [0], [0]
+    fit = model.RandomForestClassifier.fit
+
+    def watched(self, *args):
+        with lock:
+            growing[0] += 1
+            most[0] = max(most[0], growing[0])
+            kept[0] = max(kept[0], spark.sparkContext._jsc.getPersistentRDDs().size() - before)
+        try:
+            return fit(self, *args)
+        finally:
+            with lock:
+                growing[0] -= 1
+
+    monkeypatch.setattr(model.RandomForestClassifier, "fit", watched)
+    before = spark.sparkContext._jsc.getPersistentRDDs().size()
+    ample = model.grid_search(rows, ["a"], **SMALL)
+    assert model.free_storage(spark) > 1 << 20
+    monkeypatch.setattr(model, "free_storage", lambda spark: 0)
+    growing[0] = most[0] = kept[0] = 0
+    tight = model.grid_search(rows, ["a"], **SMALL)
+    # The folded rows, the vectors of one fold, and no more than one forest's rows and their sample.
+    assert most[0] == 1 and kept[0] <= 5
+    assert tight.avgMetrics == ample.avgMetrics and tight.stdMetrics == ample.stdMetrics
+
+
 def test_run_cycle_trains_even_without_new_files(spark, landing, tmp_path):
     fill(landing, ["2019-08-23"], 120)
     store = Store(str(tmp_path / "store"))
