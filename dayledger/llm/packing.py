@@ -22,7 +22,7 @@ import json
 import re
 import zlib
 from array import array
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass, replace
 
 import numpy as np
@@ -85,6 +85,9 @@ class ChunkEncoder:
         self.added = [token["content"] for token in spec.get("added_tokens", ()) if token["content"]]
         ranks = merge_ranks(spec)
         self.ranked = ranks and tiktoken.Encoding("file", pat_str=_PATTERN, mergeable_ranks=ranks, special_tokens={})
+        if ranks:
+            self.sizes = np.zeros(max(ranks.values()) + 1, np.int64)
+            self.sizes[list(ranks.values())] = [len(token) for token in ranks]
 
     def forget(self) -> None:
         self.chunks.clear()
@@ -99,12 +102,31 @@ class ChunkEncoder:
         encode = self.ranked.encode_ordinary
         return [array("I", encode(chunk)).tobytes() for chunk in chunks]
 
-    def _learn(self, table: dict[str, bytes | None], used: list[list[str]], before: str = "") -> None:
-        if len(table) > self.limit:
+    def _packed_words(self, words: list[str]) -> list[bytes]:
+        """Ids of words, each after one space or its own line end: encoded as one text, whose ids are cut where words begin."""
+        if not self.ranked:
+            return self._packed([x if x[:1] == "\n" else " " + x for x in words])
+        text = (" " + " ".join(words)).replace(" \n", "\n")
+        ids = np.array(self.ranked.encode_ordinary(text), "<u4")
+        data = np.frombuffer(text.encode(), np.uint8)
+        begin = np.flatnonzero((data == 0x20) | (data == 0x0A))
+        ends = np.cumsum(self.sizes[ids])
+        cuts = (4 * np.searchsorted(ends, [*begin[1:], len(data)]) + 4).tolist()
+        packed = ids.tobytes()
+        return [packed[a:b] for a, b in zip([0, *cuts[:-1]], cuts, strict=True)]
+
+    def _learn(self, table: dict[str, bytes | None], used: list[list[str]], packed: Callable[[list[str]], list[bytes]]) -> None:
+        needed = set().union(*used)
+        if len(table) > self.limit:  # what these texts need again stays
+            again = {x: table[x] for x in needed.intersection(table)}
             table.clear()
-        new = list(set().union(*used).difference(table))
-        ids = self._packed_chunks([x if x[:1] == "\n" else before + x for x in new])
-        table.update((x, None if self.odd(x) else i) for x, i in zip(new, ids, strict=True))
+            table.update(again)
+        new = list(needed.difference(table))
+        if self.odd("".join(new)):
+            table.update((x, None) for x in new if self.odd(x))
+            new = [x for x in new if x not in table]
+        if new:
+            table.update(zip(new, packed(new), strict=True))
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         even, other, whole = {}, {}, []
@@ -117,8 +139,8 @@ class ChunkEncoder:
                 other[d] = self.split(text)
             else:
                 even[d] = text.replace("\n", " \n").split(" ")
-        self._learn(self.chunks, [*other.values(), *(own[:1] for own in even.values())])
-        self._learn(self.spaced, list(even.values()), " ")
+        self._learn(self.chunks, [*other.values(), *(own[:1] for own in even.values())], self._packed_chunks)
+        self._learn(self.spaced, list(even.values()), self._packed_words)
         out = [b""] * len(texts)
         for d in range(len(texts)):
             try:

@@ -444,3 +444,19 @@ def test_clashing_columns_have_a_defined_result(spark, awkward):
     others = [c for c in docs.columns if c != "__id"]
     for stage in (quality.filter_quality(docs), neardup.drop_near_duplicates(docs), contamination.decontaminate(docs, tests), secrets.redact_secrets(docs)):
         assert [c for c in stage.columns if c != "__id"] == others and stage.where("quality <> 'mine' or n_words <> 7").count() == 0
+
+
+def test_unknown_words_are_encoded_together():
+    words = [f"{a}{b}é" for a in ("ab", "Ou", "x1", "don't", "日本", "a,b", "!?") for b in range(40)]
+    texts = [" ".join(words[k::7]) + "\n" + "\n".join(words[k::11]) for k in range(7)] + ["odd  space  here it is", "one\ntwo three"]
+    encoder = packing.ChunkEncoder(TOKENIZER, limit=50)
+    plain, calls = encoder.ranked.encode_ordinary, []
+    encoder.ranked.encode_ordinary = lambda text: calls.append(text) or plain(text)
+    expected = [np.array(e.ids, "<u4").tobytes() for e in encoder.tokenizer.encode_batch(texts, add_special_tokens=False)]
+    assert encoder.encode(texts) == expected
+    # One call for all the words, and one for each word that begins a text.
+    assert len(calls) <= 1 + len(texts)
+    # The full table makes room and keeps what the next texts need.
+    calls.clear()
+    assert encoder.encode(texts[:3]) == expected[:3] and not calls
+    assert encoder.encode(["new words only", *texts[-1:]]) == [*encoder._packed(["new words only"]), expected[-1]]
